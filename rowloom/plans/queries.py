@@ -593,10 +593,10 @@ def update_rows(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(
-        "event_id", "user_id", "event_type", "value"
-    )
+    schema = tb.table(spark, sf_dir, "events").schema
+    # a pattern: the table may be one file or a folder of files
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    return stream.select("event_id", "user_id", "event_type", "value")
 
 
 @query
