@@ -18,7 +18,7 @@ STAMPS = ("eff_start_date", "eff_end_date")
 
 
 class CdcResult(NamedTuple):
-    """The new master, the records that left it, and the records that could not be applied."""
+    """The new master, the records that left it, and the delta records that could not be applied."""
 
     current: DataFrame
     deleted: DataFrame
@@ -43,10 +43,12 @@ def cdc_outcome(
     run_ts: datetime,
     unique_keys: bool = False,
 ) -> DataFrame:
-    """All records with an ``outcome``: current, deleted, rejected_master or rejected_delta.
+    """All records with an ``outcome``: current, deleted or rejected.
 
-    New and updated records get fresh stamps, common ones keep theirs. One plan, so a
-    write partitioned by ``outcome`` feeds all targets in one pass.
+    New and updated records get fresh stamps, common ones keep theirs. Of the rows that
+    ``classify_changes`` rejects, those of the master stay current as they are and those of
+    the delta are rejected. One plan, so a write partitioned by ``outcome`` feeds all
+    targets in one pass.
     """
     flat = classify_flat(master, delta, keys, compare, unique_keys)
     status = F.col("status")
@@ -55,8 +57,8 @@ def cdc_outcome(
     outcome = (
         F.when(fresh | (status == COMMON), "current")
         .when(status == DELETED, "deleted")
-        .when(F.col("has_left"), "rejected_master")
-        .otherwise("rejected_delta")
+        .when(F.col("has_left"), "current")
+        .otherwise("rejected")
     )
     types = {f.name: f.dataType for f in master.schema.fields}
     stamps = {STAMPS[0]: timestamp_literal(run_ts), STAMPS[1]: timestamp_literal(HIGH_TIMESTAMP)}
@@ -87,9 +89,5 @@ def cdc_merge(
 
 def split_outcome(outcome: DataFrame) -> CdcResult:
     """Split rows that carry an ``outcome``; give it a written table when several parts are used."""
-    part = lambda *names: outcome.where(F.col("outcome").isin(*names))
-    return CdcResult(
-        part("current").drop("outcome"),
-        part("deleted").drop("outcome", *STAMPS),
-        part("rejected_master", "rejected_delta"),
-    )
+    part = lambda name: outcome.where(F.col("outcome") == name).drop("outcome")
+    return CdcResult(part("current"), part("deleted").drop(*STAMPS), part("rejected").drop(*STAMPS))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.predicates import all_present
-from rowloom.operators.joins import LEFT, RIGHT, join_unique, keep_missing, pair_by_key
+from rowloom.operators.joins import join_unique, keep_missing
 
 
 class ValidHold(NamedTuple):
@@ -98,22 +98,38 @@ def _wide(df: DataFrame, name: str, value):
     return value.cast("long") if df.schema[name].dataType.typeName() in ("byte", "short", "integer") else value
 
 
-def expected_count_check(rows: DataFrame, control: DataFrame, file_col: str, expected_col: str) -> DataFrame:
-    """Compare the rows per file with a control table.
+def rows_per_file(rows: DataFrame, name_pattern: str = r"([^/]+)$") -> DataFrame:
+    """``file_name`` and ``n_rows`` for every file a table is read from; the pattern's first group is the name."""
+    per_path = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return per_path.select(F.regexp_extract("path", name_pattern, 1).alias("file_name"), "n_rows")
+
+
+def expected_count_check(counted: DataFrame, control: DataFrame, file_col: str, expected_col: str) -> DataFrame:
+    """Compare counted rows (``n_rows``, added up per file) with a control table.
 
     ``status``: match, mismatch, missing (no rows for the file), unexpected (not in the
     control table) or ambiguous (the control table lists the file more than once).
     """
-    actual = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("actual_rows"))
-    pairs = pair_by_key(control.select(file_col, expected_col), actual, [file_col])
-    expected, counted = F.col(LEFT + expected_col).cast("long"), F.col(RIGHT + "actual_rows")
+    long = lambda column: column.cast("long")
+    both = counted.select(
+        file_col, long(F.col("n_rows")).alias("n_rows"), long(F.lit(None)).alias("expected"), F.lit(0).alias("listed")
+    ).unionByName(
+        control.select(
+            file_col,
+            long(F.lit(None)).alias("n_rows"),
+            long(F.col(expected_col)).alias("expected"),
+            F.lit(1).alias("listed"),
+        )
+    )
+    per_file = both.groupBy(file_col).agg(
+        F.sum("n_rows").alias("actual_rows"), F.max("expected").alias("expected"), F.sum("listed").alias("listed")
+    )
     status = (
-        F.when(F.col("pairing") == "ambiguous", "ambiguous")
-        .when(F.col("pairing") == "left", "missing")
-        .when(F.col("pairing") == "right", "unexpected")
-        .when(expected.eqNullSafe(counted), "match")
+        F.when(F.col("listed") == 0, "unexpected")
+        .when(F.col("listed") > 1, "ambiguous")
+        .when(F.col("actual_rows").isNull(), "missing")
+        .when(F.col("actual_rows").eqNullSafe(F.col("expected")), "match")
         .otherwise("mismatch")
     )
-    return pairs.select(
-        file_col, expected.alias("expected_rows"), counted.alias("actual_rows"), status.alias("status")
-    )
+    expected = F.when(F.col("listed") == 1, F.col("expected")).alias("expected_rows")
+    return per_file.select(file_col, expected, "actual_rows", status.alias("status"))

@@ -1,8 +1,8 @@
 """Joins that hold up when one key owns a large share of the rows.
 
 How to join depends on what the keys look like, so these functions look first: they count
-rows per key (keys only, combined before the shuffle) and plan by what that finds. Usually
-there is nothing to set apart and a plain join is left.
+rows per key (keys only, combined before the shuffle), keep the conspicuous keys in a table
+in the shared folder, and plan by what that holds. Usually it is empty and a plain join is left.
 
 A side is broadcast only when its size was checked: Spark's estimate is within
 ``spark.sql.autoBroadcastJoinThreshold``, or its rows were counted, or there are at most
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions.predicates import all_present, any_missing
+from rowloom.workspace import materialize
 
 LEFT, RIGHT = "left__", "right__"
 HOT_KEY_SETTING = "spark.rowloom.hotKeyRows"
@@ -49,10 +50,6 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _copies(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def join_unique(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join ``rows`` to a ``lookup`` that holds each key at most once.
 
@@ -63,7 +60,8 @@ def join_unique(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
     if fits_broadcast(lookup):
         return rows.join(F.broadcast(lookup), keys, how)
     present = rows.where(all_present(keys))
-    hot = _copies(rows, keys, "n").where(F.col("n") >= hot_key_rows(rows.sparkSession)).select(*keys)
+    copies = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(copies.where(F.col("n") >= hot_key_rows(rows.sparkSession)).select(*keys))
     if hot.isEmpty():
         parts = [present.join(lookup, keys, how)]
     else:
@@ -172,7 +170,7 @@ def _set_repeated_apart(
         .groupBy(*keys)
         .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
     )
-    repeated = copies.where((F.col("n_left") > 1) | (F.col("n_right") > 1))
+    repeated = materialize(copies.where((F.col("n_left") > 1) | (F.col("n_right") > 1)))
     n_repeated = repeated.count()
     if n_repeated == 0:
         return lrows, rrows, []

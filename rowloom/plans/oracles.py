@@ -250,7 +250,7 @@ SELECT l_orderkey, l_linenumber,
          AS eff_start_date,
        CASE WHEN status IN ('N', 'U') OR m_partkey IS NOT NULL THEN {OPEN_END} END AS eff_end_date,
        CASE WHEN status IN ('N', 'U', 'C') THEN 'current' WHEN status = 'D' THEN 'deleted'
-            WHEN m_partkey IS NOT NULL THEN 'rejected_master' ELSE 'rejected_delta' END AS outcome
+            WHEN m_partkey IS NOT NULL THEN 'current' ELSE 'rejected' END AS outcome
 FROM classified"""
 
 # ---- reconciliation

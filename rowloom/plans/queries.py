@@ -345,21 +345,20 @@ def enrich_unmatched(spark, sf_dir):
 def expected_count_check(spark, sf_dir):
     def files(name: str) -> DataFrame:
         # a table is one file, or a folder of that name
-        file = F.regexp_extract("_metadata.file_path", r"([^/]+\.parquet)", 1)
-        return tb.table(spark, sf_dir, name).select(file.alias("file_name"))
+        return ingest.rows_per_file(tb.table(spark, sf_dir, name), r"([^/]+\.parquet)")
 
     def expected(name: str, source: str, factor: int) -> DataFrame:
         counted = tb.table(spark, sf_dir, source).agg((F.count(F.lit(1)) * factor).alias("row_count"))
         return counted.select(F.lit(name).alias("file_name"), "row_count")
 
-    rows = files("orders").unionByName(files("lineitem")).unionByName(files("supplier")).unionByName(files("part"))
+    counted = files("orders").unionByName(files("lineitem")).unionByName(files("supplier")).unionByName(files("part"))
     control = (
         expected("orders.parquet", "customer", 10)
         .unionByName(expected("lineitem.parquet", "orders", 4))
         .unionByName(expected("supplier.parquet", "part", 1))
         .unionByName(expected("returns.parquet", "events", 1))
     )
-    return ingest.expected_count_check(rows, control, "file_name", "row_count")
+    return ingest.expected_count_check(counted, control, "file_name", "row_count")
 
 
 # ---- cleansing
