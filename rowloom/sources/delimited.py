@@ -66,9 +66,11 @@ def _parse_formatted(df: DataFrame, schema: T.StructType, check: bool) -> DataFr
         as_date = isinstance(field.dataType, T.DateType)
         parsed[field.name] = F.try_to_date(text, layout) if as_date else F.try_to_timestamp(text, F.lit(layout))
         failed.append(F.when(text.isNotNull() & parsed[field.name].isNull(), F.concat(F.lit(field.name + "="), text)))
-    if check and failed:
-        notes = F.concat_ws(", ", *failed)
-        parsed[CORRUPT] = F.coalesce(F.col(CORRUPT), F.when(notes != "", notes))
+    if check:
+        # Spark checks the fields a query uses; the hash uses them all and adds no value
+        problem = F.coalesce(F.col(CORRUPT), F.when(F.xxhash64(*schema.names) == 0, F.col(CORRUPT)))
+        notes = F.concat_ws(", ", *failed) if failed else F.lit("")
+        parsed[CORRUPT] = F.coalesce(problem, F.when(notes != "", notes))
     return df.withColumns(parsed) if parsed else df
 
 
