@@ -126,6 +126,7 @@ def pair_by_key(
     lrows, rrows = _prefixed(left, keys, LEFT), _prefixed(right, keys, RIGHT)
     right_is_small = fits_broadcast(right)
     alone: list[DataFrame] = []
+    shared = None
     if not right_is_small:
         alone = [
             lrows.where(any_missing(keys)).withColumns(_pair(True, False, F.lit(0), F.lit("left"))),
@@ -133,13 +134,18 @@ def pair_by_key(
         ]
         lrows, rrows = lrows.where(all_present(keys)), rrows.where(all_present(keys))
     if not unique_keys:
-        lrows, rrows, apart = _set_repeated_apart(lrows, rrows, keys, right_is_small)
+        copies = _copies_per_key(lrows, rrows, keys, right_is_small)
+        lrows, rrows, apart = _set_repeated_apart(lrows, rrows, copies, keys, right_is_small)
+        shared = copies.where(F.col("n_left") > 0).select(*keys)
         alone += apart
     if matched_only:
         paired = lrows.join(F.broadcast(rrows) if right_is_small else rrows, keys, "inner")
         return paired.withColumns(_pair(True, True, F.lit(1), F.lit("both")))
-    pairs = _pair_by_lookup(lrows, rrows, keys) if right_is_small else [_pair_by_shuffle(lrows, rrows, keys)]
-    return union_all([*pairs, *alone])
+    if not right_is_small:
+        return union_all([_pair_by_shuffle(lrows, rrows, keys), *alone])
+    if shared is None:
+        shared = _shared_keys(lrows, rrows, keys)
+    return union_all([*_pair_by_lookup(lrows, rrows, shared, keys), *alone])
 
 
 def _prefixed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -155,14 +161,9 @@ def _pair(has_left: bool, has_right: bool, right_copies: Column, pairing: Column
     }
 
 
-def _set_repeated_apart(
-    lrows: DataFrame, rrows: DataFrame, keys: list[str], right_is_small: bool
-) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Both sides without the rows of keys that a side repeats, and those rows one by one."""
-    if right_is_small:  # count only what the right can meet, without a shuffle of the left
-        left_keys = _shared_keys(lrows, rrows, keys)
-    else:
-        left_keys = lrows.select(*keys)
+def _copies_per_key(lrows: DataFrame, rrows: DataFrame, keys: list[str], right_is_small: bool) -> DataFrame:
+    """Rows per key on both sides, written once: for all keys of a small right side, else for repeated keys only."""
+    left_keys = _shared_keys(lrows, rrows, keys) if right_is_small else lrows.select(*keys)
     copies = (
         left_keys.select(*keys, F.lit(1).alias("n_left"), F.lit(0).alias("n_right"))
         .unionByName(rrows.select(*keys, F.lit(0).alias("n_left"), F.lit(1).alias("n_right")))
@@ -170,7 +171,18 @@ def _set_repeated_apart(
         .groupBy(*keys)
         .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
     )
-    repeated = materialize(copies.where((F.col("n_left") > 1) | (F.col("n_right") > 1)))
+    return materialize(copies if right_is_small else copies.where(_is_repeated()))
+
+
+def _is_repeated() -> Column:
+    return (F.col("n_left") > 1) | (F.col("n_right") > 1)
+
+
+def _set_repeated_apart(
+    lrows: DataFrame, rrows: DataFrame, copies: DataFrame, keys: list[str], right_is_small: bool
+) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Both sides without the rows of keys that a side repeats, and those rows one by one."""
+    repeated = copies.where(_is_repeated())
     n_repeated = repeated.count()
     if n_repeated == 0:
         return lrows, rrows, []
@@ -197,14 +209,14 @@ def _set_repeated_apart(
     return lrows, rrows, [*left_apart, *right_apart]
 
 
-def _pair_by_lookup(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> list[DataFrame]:
-    """The right side is small: the left side is scanned and not shuffled."""
+def _pair_by_lookup(lrows: DataFrame, rrows: DataFrame, shared: DataFrame, keys: list[str]) -> list[DataFrame]:
+    """The right side is small, and so are the keys both sides share: the left side is not shuffled."""
     found = F.col("has_right").isNotNull()
     from_left = lrows.join(F.broadcast(rrows.withColumn("has_right", F.lit(True))), keys, "left").withColumns(
         _pair(True, True, F.when(found, 1).otherwise(0), F.when(found, "both").otherwise("left"))
         | {"has_right": found}
     )
-    from_right = rrows.join(F.broadcast(_shared_keys(lrows, rrows, keys)), keys, "left_anti")
+    from_right = rrows.join(F.broadcast(shared), keys, "left_anti")
     return [from_left, from_right.withColumns(_pair(False, True, F.lit(1), F.lit("right")))]
 
 

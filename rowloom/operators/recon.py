@@ -138,6 +138,8 @@ def rows_without_equal(source: DataFrame, target: DataFrame, on: Sequence[str] |
 
     The columns are compared as one struct, in which null equals null.
     """
-    row_key = F.struct(*(on or source.columns))
-    lookup = target.select(row_key.alias("row_key")).distinct()
-    return join_unique(source.withColumn("row_key", row_key), lookup, ["row_key"], "left_anti").drop("row_key")
+    on = list(on or source.columns)
+    row_key = F.struct(*on).alias("row_key")
+    rows = source.select(row_key, *(c for c in source.columns if c not in on))
+    unequal = join_unique(rows, target.select(row_key).distinct(), ["row_key"], "left_anti")
+    return unequal.select(*(F.col(f"row_key.{c}") if c in on else F.col(c) for c in source.columns))
