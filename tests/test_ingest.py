@@ -251,7 +251,7 @@ def test_contact(spark):
 
 
 def test_semi_join_keeps_copies(spark, join_path):
-    rows = frame(spark, "Name string, ID int, DOB string", *[("Naresh", 123, "22-06-1983")] * 3)
+    rows = frame(spark, "Name string, ID int, DOB string", *[("Nina", 123, "22-06-1983")] * 3)
     assert rows.distinct().count() == 1
     assert cleanse.semi_join_distinct(rows, rows, ["ID"]).count() == 3
 
@@ -266,10 +266,10 @@ def test_ranking(spark):
 
 
 def test_word_count(spark):
-    lines = frame(spark, "t string", ("how are you",), ("",), ("how are you ?",), (None,), ("im  too fine too.",))
+    lines = frame(spark, "t string", ("to be or",), ("",), ("not to be ?",), (None,), ("so  it is, so.",))
     same(
         cleanse.word_count(lines, "t"),
-        [("how", 2), ("are", 2), ("you", 2), ("?", 1), ("im", 1), ("too", 1), ("fine", 1), ("too.", 1)],
+        [("to", 2), ("be", 2), ("or", 1), ("not", 1), ("?", 1), ("so", 1), ("it", 1), ("is,", 1), ("so.", 1)],
     )
 
 

@@ -64,9 +64,9 @@ def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
 
 
 def test_header_and_plain_columns(spark, tmp_path):
-    (tmp_path / "f.csv").write_text("FileName|Row_Count\nSample.dat|10\nSample.dat6|17\n")
+    (tmp_path / "f.csv").write_text("FileName|Row_Count\nfirst.csv|10\nsecond.csv|17\n")
     named = delimited.read_delimited(spark, str(tmp_path / "f.csv"), sep="|", header=True)
-    same(named.where("FileName = 'Sample.dat6'"), [("Sample.dat6", "17")])
+    same(named.where("FileName = 'second.csv'"), [("second.csv", "17")])
     assert delimited.read_delimited(spark, str(tmp_path / "f.csv"), sep="|").columns == ["_c0", "_c1"]
 
 
@@ -79,12 +79,12 @@ def test_empty_text_and_null_survive_a_round_trip(spark, tmp_path):
 
 
 def test_text_in_memory(spark):
-    lines = delimited.text_lines(spark, "Name\nHello, Spark!\nThis is a multi-line string.\nEach line becomes a row.")
+    lines = delimited.text_lines(spark, "Name\nOne, two\nA second line.\nA third line.")
     parsed = delimited.parse_delimited_text(lines, T.StructType().add("Name", "string"), header="Name")
     assert jobs.unreadable_lines(parsed).count() == 1
     same(
         parsed,
-        [("Hello", "Hello, Spark!"), ("This is a multi-line string.", None), ("Each line becomes a row.", None)],
+        [("One", "One, two"), ("A second line.", None), ("A third line.", None)],
     )
 
 
