@@ -109,6 +109,8 @@ REPAIRED_HOLD = """
 SELECT * FROM repaired WHERE Quantity_Sold IS NULL OR Vendor_ID IS NULL
 UNION ALL SELECT * FROM held WHERE Sale_ID NOT IN (SELECT Sale_ID FROM today)"""
 
+QUANTITY_TEXT = "CAST(Quantity_Sold AS VARCHAR) AS Quantity_Sold"
+
 PRODUCTS = """
 known AS (
   SELECT p_partkey AS Product_ID, p_name AS Product_Name, p_retailprice AS Product_Price
@@ -172,7 +174,8 @@ ORACLES["classify_orders"] = f"WITH {ORDER_SIDES}, {ORDER_CLASSES} SELECT * FROM
 
 ORACLES["classify_repeated_keys"] = f"""
 WITH {LINE_CLASSES}
-SELECT l_orderkey, l_linenumber, status, m_partkey AS old_part, d_partkey AS new_part FROM classified"""
+SELECT l_orderkey, l_linenumber, status, CAST(m_partkey AS VARCHAR) AS old_part, CAST(d_partkey AS VARCHAR) AS new_part
+FROM classified"""
 
 ORACLES["rejected_rows"] = f"""
 WITH {LINE_CLASSES}
@@ -330,22 +333,23 @@ WHERE NOT EXISTS (
 ORACLES["split_valid"] = f"""
 WITH {LANDED} SELECT * FROM landed WHERE Quantity_Sold IS NOT NULL AND Vendor_ID IS NOT NULL"""
 ORACLES["split_hold"] = f"""
-WITH {LANDED} SELECT * FROM landed WHERE Quantity_Sold IS NULL OR Vendor_ID IS NULL"""
+WITH {LANDED} SELECT * REPLACE ({QUANTITY_TEXT}) FROM landed WHERE Quantity_Sold IS NULL OR Vendor_ID IS NULL"""
 ORACLES["repair_valid"] = f"WITH {REPAIRED} {REPAIRED_VALID}"
-ORACLES["repair_hold"] = f"WITH {REPAIRED} {REPAIRED_HOLD}"
+ORACLES["repair_hold"] = f"WITH {REPAIRED} SELECT * REPLACE ({QUANTITY_TEXT}) FROM ({REPAIRED_HOLD})"
 ORACLES["ingest_next_day"] = f"""
 WITH {REPAIRED}
-SELECT *, 'valid' AS part FROM ({REPAIRED_VALID}) UNION ALL SELECT *, 'hold' FROM ({REPAIRED_HOLD})"""
+SELECT * REPLACE ({QUANTITY_TEXT}), 'valid' AS part FROM ({REPAIRED_VALID})
+UNION ALL SELECT * REPLACE ({QUANTITY_TEXT}), 'hold' FROM ({REPAIRED_HOLD})"""
 ORACLES["repair_repeated_keys"] = f"""
 WITH landed AS (
   SELECT l_orderkey AS Sale_ID, l_partkey AS Product_ID, CASE WHEN l_partkey % 4 <> 0 THEN l_quantity END AS Quantity_Sold,
-         CASE WHEN l_partkey % 6 <> 0 THEN l_suppkey END AS Vendor_ID
+         CASE WHEN l_partkey % 6 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS Vendor_ID
   FROM lineitem),
 held AS (SELECT * FROM landed WHERE Quantity_Sold IS NULL OR Vendor_ID IS NULL),
 fill AS (SELECT Sale_ID, max(Quantity_Sold) AS q, max(Vendor_ID) AS v FROM held GROUP BY Sale_ID),
 today AS (
   SELECT l_orderkey AS Sale_ID, l_partkey AS Product_ID, CASE WHEN l_partkey % 3 <> 0 THEN l_quantity END AS Quantity_Sold,
-         CASE WHEN l_partkey % 7 <> 0 THEN l_suppkey END AS Vendor_ID
+         CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS Vendor_ID
   FROM lineitem WHERE l_orderkey % 5 <> 0),
 repaired AS (
   SELECT t.Sale_ID, t.Product_ID, coalesce(t.Quantity_Sold, f.q) AS Quantity_Sold, coalesce(t.Vendor_ID, f.v) AS Vendor_ID
@@ -371,7 +375,7 @@ control AS (
   SELECT 'orders.parquet' AS file_name, count(*) * 10 AS n FROM customer
   UNION ALL SELECT 'lineitem.parquet', count(*) * 4 FROM orders
   UNION ALL SELECT 'supplier.parquet', count(*) FROM part UNION ALL SELECT 'returns.parquet', count(*) FROM events)
-SELECT coalesce(c.file_name, a.file_name) AS file_name, CAST(c.n AS BIGINT) AS expected_rows, a.n AS actual_rows,
+SELECT coalesce(c.file_name, a.file_name) AS file_name, CAST(c.n AS VARCHAR) AS expected_rows, CAST(a.n AS VARCHAR) AS actual_rows,
        CASE WHEN a.n IS NULL THEN 'missing' WHEN c.n IS NULL THEN 'unexpected' WHEN a.n = c.n THEN 'match' ELSE 'mismatch' END
          AS status
 FROM control c FULL JOIN actual a ON c.file_name = a.file_name"""

@@ -26,7 +26,7 @@ def query(fn: Query) -> Query:
 
 
 def _text(df: DataFrame, *columns: str) -> DataFrame:
-    """Dates and times as text, so that every client shows them alike."""
+    """Dates, times and whole numbers that may be null as text, so that every client shows them alike."""
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
@@ -74,8 +74,8 @@ def classify_repeated_keys(spark, sf_dir):
     return classified.select(
         *LINE_KEY,
         "status",
-        F.col("m.l_partkey").alias("old_part"),
-        F.col("d.l_partkey").alias("new_part"),
+        F.col("m.l_partkey").cast("string").alias("old_part"),
+        F.col("d.l_partkey").cast("string").alias("new_part"),
     )
 
 
@@ -283,7 +283,7 @@ def split_valid(spark, sf_dir):
 
 @query
 def split_hold(spark, sf_dir):
-    return _day_one(spark, sf_dir).hold
+    return _text(_day_one(spark, sf_dir).hold, "Quantity_Sold")
 
 
 @query
@@ -293,7 +293,7 @@ def repair_valid(spark, sf_dir):
 
 @query
 def repair_hold(spark, sf_dir):
-    return _day_two(spark, sf_dir).hold
+    return _text(_day_two(spark, sf_dir).hold, "Quantity_Sold")
 
 
 @query
@@ -326,7 +326,7 @@ def ingest_next_day(spark, sf_dir):
         jobs.read_tagged(spark, f"{folder}/day2", LANDING_SCHEMA, is_valid).withColumn("part", F.lit(name))
         for is_valid, name in ((True, "valid"), (False, "hold"))
     ]
-    return parts[0].unionByName(parts[1])
+    return _text(parts[0].unionByName(parts[1]), "Quantity_Sold")
 
 
 @query
@@ -358,7 +358,8 @@ def expected_count_check(spark, sf_dir):
         .unionByName(expected("supplier.parquet", "part", 1))
         .unionByName(expected("returns.parquet", "events", 1))
     )
-    return ingest.expected_count_check(counted, control, "file_name", "row_count")
+    checked = ingest.expected_count_check(counted, control, "file_name", "row_count")
+    return _text(checked, "expected_rows", "actual_rows")
 
 
 # ---- cleansing

@@ -117,7 +117,7 @@ def line_landing(lineitems: DataFrame, no_quantity: int, no_vendor: int) -> Data
         F.col("l_orderkey").alias("Sale_ID"),
         F.col("l_partkey").alias("Product_ID"),
         F.when(~every("l_partkey", no_quantity), F.col("l_quantity")).alias("Quantity_Sold"),
-        F.when(~every("l_partkey", no_vendor), F.col("l_suppkey")).alias("Vendor_ID"),
+        F.when(~every("l_partkey", no_vendor), F.col("l_suppkey").cast("string")).alias("Vendor_ID"),
     )
 
 
