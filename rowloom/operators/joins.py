@@ -124,28 +124,45 @@ def pair_by_key(
     """
     keys = list(keys)
     lrows, rrows = _prefixed(left, keys, LEFT), _prefixed(right, keys, RIGHT)
-    right_is_small = fits_broadcast(right)
-    alone: list[DataFrame] = []
-    shared = None
-    if not right_is_small:
-        alone = [
-            lrows.where(any_missing(keys)).withColumns(_pair(True, False, F.lit(0), F.lit("left"))),
-            rrows.where(any_missing(keys)).withColumns(_pair(False, True, F.lit(1), F.lit("right"))),
-        ]
-        lrows, rrows = lrows.where(all_present(keys)), rrows.where(all_present(keys))
+    repeated = (F.col("n_left") > 1) | (F.col("n_right") > 1)
+
+    if fits_broadcast(right):
+        alone: list[DataFrame] = []
+        shared = _shared_keys(lrows, rrows, keys)
+        if not unique_keys:  # one row per key of the right: small as well
+            copies = materialize(_copies_per_key(shared, rrows, keys))
+            lrows, rrows, alone = _set_apart(lrows, rrows, copies.where(repeated), keys, small=True)
+            shared = copies.where(F.col("n_left") > 0).select(*keys)
+        if matched_only:
+            return _matched(lrows, F.broadcast(rrows), keys)
+        return union_all([*_pair_by_lookup(lrows, rrows, shared, keys), *alone])
+
+    lrows, rrows, alone = _set_null_keys_apart(lrows, rrows, keys)
     if not unique_keys:
-        copies = _copies_per_key(lrows, rrows, keys, right_is_small)
-        lrows, rrows, apart = _set_repeated_apart(lrows, rrows, copies, keys, right_is_small)
-        shared = copies.where(F.col("n_left") > 0).select(*keys)
+        copies = materialize(_copies_per_key(lrows, rrows, keys).where(repeated))
+        lrows, rrows, apart = _set_apart(lrows, rrows, copies, keys, small=False)
         alone += apart
     if matched_only:
-        paired = lrows.join(F.broadcast(rrows) if right_is_small else rrows, keys, "inner")
-        return paired.withColumns(_pair(True, True, F.lit(1), F.lit("both")))
-    if not right_is_small:
-        return union_all([_pair_by_shuffle(lrows, rrows, keys), *alone])
-    if shared is None:
-        shared = _shared_keys(lrows, rrows, keys)
-    return union_all([*_pair_by_lookup(lrows, rrows, shared, keys), *alone])
+        return _matched(lrows, rrows, keys)
+    return union_all([_pair_by_shuffle(lrows, rrows, keys), *alone])
+
+
+def rows_without_partner(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``pair_by_key`` other than ``both``.
+
+    Two large sides are not joined: the keys are counted, and only the rows of keys that do
+    not occur once on each side are taken from the tables. When those keys are few, which is
+    usual for two copies of a table, no row is shuffled.
+    """
+    keys = list(keys)
+    if fits_broadcast(right):
+        return pair_by_key(left, right, keys).where(F.col("pairing") != "both")
+    lrows, rrows = _prefixed(left, keys, LEFT), _prefixed(right, keys, RIGHT)
+    lrows, rrows, alone = _set_null_keys_apart(lrows, rrows, keys)
+    single = (F.col("n_left") == 1) & (F.col("n_right") == 1)
+    copies = materialize(_copies_per_key(lrows, rrows, keys).where(~single))
+    _, _, apart = _set_apart(lrows, rrows, copies, keys, small=False)
+    return union_all([*alone, *apart])
 
 
 def _prefixed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -161,38 +178,46 @@ def _pair(has_left: bool, has_right: bool, right_copies: Column, pairing: Column
     }
 
 
-def _copies_per_key(lrows: DataFrame, rrows: DataFrame, keys: list[str], right_is_small: bool) -> DataFrame:
-    """Rows per key on both sides, written once: for all keys of a small right side, else for repeated keys only."""
-    left_keys = _shared_keys(lrows, rrows, keys) if right_is_small else lrows.select(*keys)
-    copies = (
+def _set_null_keys_apart(
+    lrows: DataFrame, rrows: DataFrame, keys: list[str]
+) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Both sides without their rows of null keys, and those rows."""
+    alone = [
+        lrows.where(any_missing(keys)).withColumns(_pair(True, False, F.lit(0), F.lit("left"))),
+        rrows.where(any_missing(keys)).withColumns(_pair(False, True, F.lit(1), F.lit("right"))),
+    ]
+    return lrows.where(all_present(keys)), rrows.where(all_present(keys)), alone
+
+
+def _matched(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
+    return lrows.join(rrows, keys, "inner").withColumns(_pair(True, True, F.lit(1), F.lit("both")))
+
+
+def _copies_per_key(left_keys: DataFrame, right_keys: DataFrame, keys: list[str]) -> DataFrame:
+    """``n_left`` and ``n_right``, the rows of each key on both sides."""
+    return (
         left_keys.select(*keys, F.lit(1).alias("n_left"), F.lit(0).alias("n_right"))
-        .unionByName(rrows.select(*keys, F.lit(0).alias("n_left"), F.lit(1).alias("n_right")))
+        .unionByName(right_keys.select(*keys, F.lit(0).alias("n_left"), F.lit(1).alias("n_right")))
         .where(all_present(keys))
         .groupBy(*keys)
         .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
     )
-    return materialize(copies if right_is_small else copies.where(_is_repeated()))
-
-
-def _is_repeated() -> Column:
-    return (F.col("n_left") > 1) | (F.col("n_right") > 1)
 
 
-def _set_repeated_apart(
-    lrows: DataFrame, rrows: DataFrame, copies: DataFrame, keys: list[str], right_is_small: bool
+def _set_apart(
+    lrows: DataFrame, rrows: DataFrame, copies: DataFrame, keys: list[str], small: bool
 ) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Both sides without the rows of keys that a side repeats, and those rows one by one."""
-    repeated = copies.where(_is_repeated())
-    n_repeated = repeated.count()
-    if n_repeated == 0:
+    """Both sides without the rows of the counted keys, and those rows one by one."""
+    n_keys = copies.count()
+    if n_keys == 0:
         return lrows, rrows, []
 
     spark = lrows.sparkSession
-    if right_is_small or n_repeated <= broadcast_keys(spark):
-        steps = [F.broadcast(repeated)]
+    if small or n_keys <= broadcast_keys(spark):
+        steps = [F.broadcast(copies)]
     else:  # the few keys with most rows leave before the shuffle, the many small ones after it
         is_hot = F.col("n_left") + F.col("n_right") >= hot_key_rows(spark)
-        steps = [F.broadcast(repeated.where(is_hot)), repeated.where(~is_hot)]
+        steps = [F.broadcast(copies.where(is_hot)), copies.where(~is_hot)]
 
     def split(rows: DataFrame, values: dict[str, Column]) -> tuple[DataFrame, list[DataFrame]]:
         apart = []

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.predicates import attrs_differ
-from rowloom.operators.joins import LEFT, RIGHT, join_unique, pair_by_key
+from rowloom.operators.joins import LEFT, RIGHT, join_unique, pair_by_key, rows_without_partner
 
 
 def _shared_columns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -22,7 +22,7 @@ def reconcile_presence(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
     column comparisons leave them out, since they have no one partner. Columns that only
     the other side has are null.
     """
-    pairs = pair_by_key(left, right, keys)
+    alone = rows_without_partner(left, right, keys)
     presence = (
         F.when(F.col("pairing") == "left", "left_only")
         .when(F.col("pairing") == "right", "right_only")
@@ -37,7 +37,7 @@ def reconcile_presence(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
             return F.col(RIGHT + name).alias(name)
         return F.when(F.col("has_left"), F.col(LEFT + name)).otherwise(F.col(RIGHT + name)).alias(name)
 
-    return pairs.where(F.col("pairing") != "both").select(
+    return alone.select(
         *keys,
         *(value(c) for c in columns),
         F.when(F.col("has_left"), "left").otherwise("right").alias("side"),

@@ -113,6 +113,19 @@ def test_presence_of_repeated_and_null_keys(spark, join_path):
     )
 
 
+def test_presence_reads_only_keys_when_tables_agree(spark, tmp_path):
+    spark.range(100).selectExpr("id", "string(id) as ballast").write.parquet(f"{tmp_path}/a")
+    left, right = (spark.read.parquet(f"{tmp_path}/a") for _ in "lr")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = plan_of(recon.reconcile_presence(left, right, ["id"]))
+    finally:
+        spark.conf.set(key, before)
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_a_table_agrees_with_itself(people, join_path):
     left, keys = people[0], ["id1", "id2"]
     assert recon.reconcile_wide(left, left, keys).isEmpty()
