@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="rowloom-")
-    spark.conf.set(SETTING, folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 

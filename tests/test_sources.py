@@ -120,6 +120,35 @@ def test_shared_folder_is_the_configured_one(spark):
     assert workspace.scratch_path(spark, "x").startswith(workspace.shared_dir(spark))
 
 
+class Session:
+    """Stands in for a session with the given settings."""
+
+    def __init__(self, master, configured=None):
+        self.conf, self.sparkContext, self.master = {SETTING: configured}, self, master
+        self.folder = None
+
+    def getConf(self):
+        return {}
+
+    def getCheckpointDir(self):
+        return self.folder and f"file:{self.folder}/some-id"
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+SETTING = workspace.SETTING
+
+
+def test_shared_folder_without_a_setting():
+    assert workspace.shared_dir(Session("yarn", "hdfs://shared/folder/")) == "hdfs://shared/folder"
+    with pytest.raises(RuntimeError, match=SETTING):
+        workspace.shared_dir(Session("yarn"))
+    local = Session("local[2]")
+    folder = workspace.shared_dir(local)
+    assert local.folder == folder and workspace.shared_dir(local) == f"file:{folder}"
+
+
 # ---- load log
 
 TIMES = [datetime(2025, 6, day) for day in range(1, 10)]
