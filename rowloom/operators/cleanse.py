@@ -86,13 +86,14 @@ def ranked_by_score(
 ) -> DataFrame:
     """Rows above a score and equal to the given values, best first.
 
-    ``ties`` order rows of one score. They also let the sort spread a score that many
-    rows share over several tasks.
+    ``ties`` order rows of one score. Last comes the partition a row was read in, so that
+    the sort can spread a score, or copies of one row, that many rows share over several tasks.
     """
     wanted = all_of(F.col(c) == v for c, v in (equals or {}).items())
     if above is not None:
         wanted = wanted & (F.col(score) > above)
-    return rows.where(wanted).orderBy(F.col(score).desc(), *(F.col(c).asc() for c in ties))
+    located = rows.where(wanted).withColumn("read_in", F.spark_partition_id())
+    return located.orderBy(F.col(score).desc(), *(F.col(c).asc() for c in ties), "read_in").drop("read_in")
 
 
 def word_count(lines: DataFrame, text: str, separator: str = " ", lower: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowloom.functions import parsing
 from rowloom.operators import cleanse, ingest
@@ -265,6 +266,16 @@ def test_ranking(spark):
     assert [r.SID for r in cleanse.ranked_by_score(students, "SCORE", equals={"FL": "Telugu"}, ties=["SID"]).collect()] == [1, 4, 3]
 
 
+def test_copies_of_one_score_are_spread(spark):
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("500 as SCORE")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = cleanse.ranked_by_score(rows, "SCORE")
+        assert ranked.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_word_count(spark):
     lines = frame(spark, "t string", ("to be or",), ("",), ("not to be ?",), (None,), ("so  it is, so.",))
     same(
