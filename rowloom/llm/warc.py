@@ -83,31 +83,31 @@ def names_of(schema: str) -> list[str]:
 # --- writing ---------------------------------------------------------------------------------------
 
 
-def rolled(df: DataFrame, archive_bytes: int) -> DataFrame:
-    """Binary column ``record`` as (archive, place, record): archives filled in the order of the rows of a task."""
+def write_archives(
+    records: DataFrame, path: str, separator: str, archive_bytes: int = ARCHIVE_BYTES, opening: bytes = b""
+) -> None:
+    """Gzipped text files of the binary ``record``s, each followed by ``separator``; bytes are written as they are.
+
+    Archives are filled in the order of the rows of a task; ``opening`` stands at the start of each.
+    """
 
     def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         task, archive, place, size = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
-            archives, places = [], []
+            rows = []
             for record in batch["record"]:
                 if size and size + len(record) > archive_bytes:
                     archive, place, size = archive + 1, 0, 0
                 size += len(record)
-                archives.append(f"{task:05d}-{archive:05d}")
-                places.append(place)
+                rows.append((f"{task:05d}-{archive:05d}", place, record if place else opening + record))
                 place += 1
-            yield pd.DataFrame({"archive": archives, "place": places, "record": batch["record"]})
-
-    return df.mapInPandas(roll, "archive string, place long, record binary")
-
+            yield pd.DataFrame(rows, columns=["archive", "place", "record"])
 
-def write_archives(records: DataFrame, path: str, separator: str, archive_bytes: int) -> None:
-    """Text files of the records, each followed by ``separator``, gzipped; bytes are written as they are."""
     (
-        records.transform(lambda df: rolled(df, archive_bytes))
+        records.select("record")
+        .mapInPandas(roll, "archive string, place long, record binary")
         .sortWithinPartitions("archive", "place")
         .select(F.col("record").cast("string").alias("value"), "archive")
         .write.partitionBy("archive")
@@ -163,26 +163,9 @@ def version_block(version: int, date: str) -> bytes:
     return f"filedesc://pages.arc 0.0.0.0 {date} text/plain{extra} {len(body)}\n".encode() + body
 
 
-def write_arc(pages: DataFrame, path: str, version: int, date: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+def write_arc(records: DataFrame, path: str, version: int, date: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """ARC files of one version from binary ``record``s; every file opens with its version block."""
-    opening = version_block(version, date)
-
-    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            first = batch["place"] == 0
-            batch.loc[first, "record"] = batch.loc[first, "record"].map(lambda r: opening + b"\n" + r)
-            yield batch
-
-    (
-        rolled(pages.select("record"), archive_bytes)
-        .mapInPandas(opened, "archive string, place long, record binary")
-        .sortWithinPartitions("archive", "place")
-        .select(F.col("record").cast("string").alias("value"), "archive")
-        .write.partitionBy("archive")
-        .option("lineSep", "\n")
-        .option("compression", "gzip")
-        .text(path)
-    )
+    write_archives(records, path, "\n", archive_bytes, version_block(version, date) + b"\n")
 
 
 # --- the converter ---------------------------------------------------------------------------------
@@ -259,64 +242,76 @@ def payload_of(block: bytes) -> tuple[bytes, bytes]:
     return (block, b"") if end < 0 else (block[: end + 4], block[end + 4 :])
 
 
-def convert(records: DataFrame) -> DataFrame:
-    """WARC records for ARC records, before duplicates are marked.
+def warc_fields(url: str, date: str, content_type: str, block: bytes) -> tuple:
+    """The WARC record of an ARC record, before duplicates are marked.
 
     Version blocks become ``warcinfo``, HTTP answers ``response``, all else ``resource``. The identifier
-    is a UUID derived from address, date, page id and payload digest, so that a repeated conversion gives
-    the same. ``page_id`` is read from the captured ``X-Page-Id`` header (null if absent).
+    is a UUID derived from type, address, date, page id and payload digest, so that a repeated conversion
+    gives the same. ``page_id`` is read from the captured ``X-Page-Id`` header (null if absent).
     """
+    is_http = block.startswith(b"HTTP/")
+    head, body = payload_of(block) if is_http else (b"", block)
+    kind = "warcinfo" if url.startswith("filedesc://") else "response" if is_http else "resource"
+    page = re.search(rb"(?mi)^X-Page-Id: (-?\d+)\r?$", head)
+    digest, time = base32_sha1(body), w3c_time(date)
+    seed = f"{kind} {url} {time} {page and page[1].decode()} {digest}"
+    return (
+        kind,
+        f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, seed)}>",
+        url,
+        time,
+        "application/http; msgtype=response" if is_http else content_type,
+        base32_sha1(block),
+        digest,
+        len(body),
+        None,
+        int(page[1]) if page else None,
+        None,
+        block,
+    )
 
-    def synthesise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
+
+def convert_arc(spark: SparkSession, path: str, with_blocks: bool = True) -> DataFrame:
+    """The ARC files below ``path`` as WARC records; without their blocks if only the fields are of use."""
+
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def records() -> Iterator[tuple]:
             for batch in batches:
-                for r in batch.itertuples(index=False):
-                    is_http = r.block.startswith(b"HTTP/")
-                    head, body = payload_of(r.block) if is_http else (b"", r.block)
-                    kind = "warcinfo" if r.url.startswith("filedesc://") else "response" if is_http else "resource"
-                    page = re.search(rb"(?mi)^X-Page-Id: (-?\d+)\r?$", head)
-                    digest, time = base32_sha1(body), w3c_time(r.date)
-                    seed = f"{kind} {r.url} {time} {page and page[1].decode()} {digest}"
-                    yield (
-                        kind,
-                        f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, seed)}>",
-                        r.url,
-                        time,
-                        "application/http; msgtype=response" if is_http else r.content_type,
-                        base32_sha1(r.block),
-                        digest,
-                        len(body),
-                        None,
-                        int(page[1]) if page else None,
-                        None,
-                        r.block,
-                    )
-
-        yield from in_chunks(rows(), names_of(WARC_RECORD), 11)
-
-    return records.mapInPandas(synthesise, WARC_RECORD)
-
-
-def mark_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Responses whose payload another response has too become revisits of the one with the smallest page id.
+                for name, content in zip(batch["path"], batch["content"]):
+                    for _, _, _, url, _, date, content_type, _, _, block in parse_arc(gunzip(content), name):
+                        fields = warc_fields(url, date, content_type, block)
+                        yield fields if with_blocks else (*fields[:-1], None)
 
-    Payloads under ``min_bytes`` are left. Only digests that occur more than once are joined, and only
-    digest, smallest id and identifier of each; the blocks of revisits keep the HTTP head alone. Records
-    with the smallest id itself (repeated rows) all stay responses, as do records if no id is known.
-    """
-    eligible = (F.col("type") == "response") & (F.col("payload_bytes") >= min_bytes)
-    first = (
-        records.where(eligible)
+        yield from in_chunks(records(), names_of(WARC_RECORD), 11)
+
+    return archive_files(spark, path).mapInPandas(convert, WARC_RECORD)
+
+
+def first_responses(fields: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(digest, first): the smallest page id, with its record, of payloads that several responses have."""
+    return (
+        fields.where(eligible(min_bytes))
         .groupBy(F.col("payload_digest").alias("digest"))
         .agg(
-            F.min(F.struct("page_id", "record_id")).alias("unordered"),
             F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id"))).alias("first"),
             F.count("*").alias("copies"),
         )
         .where((F.col("copies") > 1) & F.col("first").isNotNull())
         .select("digest", "first")
     )
-    is_copy = eligible & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
+
+
+def eligible(min_bytes: int) -> Column:
+    return (F.col("type") == "response") & (F.col("payload_bytes") >= min_bytes)
+
+
+def mark_revisits(records: DataFrame, first: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Responses whose payload another response has too become revisits of the one with the smallest page id.
+
+    Payloads under ``min_bytes`` are left. The blocks of revisits keep the HTTP head alone. Records with the
+    smallest id itself (repeated rows) all stay responses, as do records if no id is known.
+    """
+    is_copy = eligible(min_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
     head = F.expr("substring(block, 1, length(block) - payload_bytes)")
     return (
         records.join(first, F.col("payload_digest") == F.col("digest"), "left")
@@ -432,6 +427,7 @@ def archive_pages(
     records = arc_records(pages, id_column, url_column, html_column, date)
     for version in ARC_FIELDS:
         write_arc(records.where(F.col("version") == version), f"{path}/arc/v{version}", version, date, archive_bytes)
-    converted = convert(read_arc(spark, f"{path}/arc"))
-    write_warc(mark_revisits(converted, min_bytes), f"{path}/warc", archive_bytes)
+    first = first_responses(convert_arc(spark, f"{path}/arc", with_blocks=False), min_bytes)
+    marked = mark_revisits(convert_arc(spark, f"{path}/arc"), first, min_bytes)
+    write_warc(marked, f"{path}/warc", archive_bytes)
     return read_warc(spark, f"{path}/warc").where("type in ('response', 'revisit')")
