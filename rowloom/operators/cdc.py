@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.parsing import timestamp_literal
 from rowloom.operators.changes import COMMON, DELETED, NEW, REJECTED, UPDATED, classify_flat
-from rowloom.operators.joins import LEFT, RIGHT
+from rowloom.operators.joins import LEFT, RIGHT, keep_matching, keep_missing
 
 HIGH_TIMESTAMP = "9999-12-31 23:59:00"  # Fixed value: end of an open record.
 STAMPS = ("eff_start_date", "eff_end_date")
@@ -75,6 +75,35 @@ def cdc_outcome(
     return flat.select(*(value(c) for c in master.columns), outcome.alias("outcome"))
 
 
+def cdc_outcome_checked(
+    master: DataFrame, delta: DataFrame, keys: Sequence[str], problem: str, run_ts: datetime
+) -> DataFrame:
+    """``cdc_outcome`` of an extract in which some lines could not be read, with the column ``problem``.
+
+    ``problem`` is null for the delta's good rows and holds the line otherwise. Such lines are rejected. If
+    the key of one can be read, nothing is known of what the source holds for it: the master's record
+    stays current, and good delta rows of that key are rejected too.
+    """
+    good = delta.where(F.col(problem).isNull()).drop(problem)
+    bad = delta.where(F.col(problem).isNotNull())
+    compare = [c for c in good.columns if c not in keys]
+    unknown = bad.select(*keys).distinct()
+    known_master, known_delta = keep_missing(master, unknown, keys), keep_missing(good, unknown, keys)
+    none = F.lit(None).cast("string")
+    types = {f.name: f.dataType for f in master.schema.fields}
+
+    def like_master(rows: DataFrame, outcome: str, text: Column) -> DataFrame:
+        value = lambda c: (F.col(c) if c in rows.columns else F.lit(None)).cast(types[c]).alias(c)
+        return rows.select(*(value(c) for c in master.columns), F.lit(outcome).alias("outcome"), text.alias(problem))
+
+    merged = cdc_outcome(known_master, known_delta, keys, compare, run_ts).withColumn(problem, none)
+    return (
+        merged.unionByName(like_master(keep_matching(master, unknown, keys), "current", none))
+        .unionByName(like_master(keep_matching(good, unknown, keys), "rejected", none))
+        .unionByName(like_master(bad, "rejected", F.col(problem)))
+    )
+
+
 def cdc_merge(
     master: DataFrame,
     delta: DataFrame,

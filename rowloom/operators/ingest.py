@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.predicates import all_present
-from rowloom.operators.joins import join_unique, keep_missing
+from rowloom.operators.joins import join_unique
 
 
 class ValidHold(NamedTuple):
@@ -28,31 +28,43 @@ def split_valid_hold(rows: DataFrame, required: Sequence[str]) -> ValidHold:
     return ValidHold(rows.where(complete), rows.where(~complete))
 
 
-def repaired_rows(today: DataFrame, held: DataFrame, keys: Sequence[str], required: Sequence[str]) -> DataFrame:
-    """Today's rows, with missing required values taken from held rows of the same key.
+def repair_tagged(today: DataFrame, held: DataFrame, keys: Sequence[str], required: Sequence[str]) -> DataFrame:
+    """Today's rows, repaired, and the held rows whose key did not arrive today, with ``is_valid``.
 
-    Several held rows of one key are first reduced to one: per column the greatest value,
-    so that the result does not depend on row order and no row of today is multiplied.
+    Missing required values of today are taken from held rows of the same key; several held rows of one
+    key count as one that has the greatest value of each column, so the result does not depend on row order
+    and no row of today is multiplied. Held rows without news stay held. All rows of both days meet what
+    is known of their key in one join. A null key is no key: such rows pass as they are.
     """
-    fill = (
-        held.where(all_present(keys))
+    tagged = today.withColumn("of_today", F.lit(True)).unionByName(
+        held.select(*today.columns).withColumn("of_today", F.lit(False))
+    )
+    known = (
+        tagged.where(all_present(keys))
         .groupBy(*keys)
-        .agg(*(F.max(c).alias(f"held__{c}") for c in required))
+        .agg(
+            F.bool_or("of_today").alias("arrived"),
+            *(F.max(F.when(~F.col("of_today"), F.col(c))).alias(f"held__{c}") for c in required if c not in keys),
+        )
     )
-    joined = join_unique(today, fill, keys, "left")
-    value = lambda c: F.coalesce(F.col(c), F.col(f"held__{c}")).alias(c) if c in required else F.col(c)
-    return joined.select(*(value(c) for c in today.columns))
-
-
-def carried_rows(today: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Held rows whose key did not arrive today."""
-    return keep_missing(held, today, keys)
+    joined = join_unique(tagged, known, keys, "left")
+    carried = ~F.col("of_today") & ~F.coalesce("arrived", F.lit(False))
+    filled = [c for c in required if c not in keys]
+    value = lambda c: (
+        F.when(F.col("of_today"), F.coalesce(F.col(c), F.col(f"held__{c}"))).otherwise(F.col(c)).alias(c)
+        if c in filled
+        else F.col(c)
+    )
+    repaired = joined.where(F.col("of_today") | carried).select(*(value(c) for c in today.columns), "of_today")
+    return repaired.withColumn("is_valid", F.col("of_today") & all_present(required)).drop("of_today")
 
 
 def repair_hold(today: DataFrame, held: DataFrame, keys: Sequence[str], required: Sequence[str]) -> ValidHold:
     """Repair today's rows from the held ones and split again; held rows without news stay held."""
-    valid, hold = split_valid_hold(repaired_rows(today, held, keys, required), required)
-    return ValidHold(valid, hold.unionByName(carried_rows(today, held, keys)))
+    tagged = repair_tagged(today, held, keys, required)
+    return ValidHold(
+        tagged.where(F.col("is_valid")).drop("is_valid"), tagged.where(~F.col("is_valid")).drop("is_valid")
+    )
 
 
 class Enriched(NamedTuple):
@@ -60,18 +72,19 @@ class Enriched(NamedTuple):
     unmatched: DataFrame
 
 
-def enrich_sales(
+def enrich_tagged(
     sales: DataFrame,
     products: DataFrame,
     key: str = "Product_ID",
     price: str = "Product_Price",
     quantity: str = "Quantity_Sold",
     amount: str = "Sale_Amount",
-) -> Enriched:
-    """Add the product columns to each sale and recompute its amount as price times quantity.
+) -> DataFrame:
+    """Every sale with the product columns, its amount as price times quantity, and a ``reason``.
 
-    Sales whose product is unknown, or listed more than once, are returned as unmatched with
-    the ``reason``. Whole numbers are widened, so the amount does not overflow.
+    The reason is null where the product is listed once, else ``unknown_product`` or
+    ``ambiguous_product``; such sales keep their own amount. Whole numbers are widened, so the amount
+    does not overflow.
     """
     details = [c for c in products.columns if c != key]
     one_each = (
@@ -80,18 +93,26 @@ def enrich_sales(
         .agg(F.count(F.lit(1)).alias("n_products"), F.max(F.struct(*details)).alias("product"))
     )
     joined = join_unique(sales, one_each, [key], "left")
-    found = F.col("n_products") == 1
     known = [c for c in sales.columns if c != amount]
-    enriched = joined.where(found).select(
+    found = F.coalesce(F.col("n_products") == 1, F.lit(False))
+    priced = _wide(products, price, F.col(f"product.{price}")) * _wide(sales, quantity, F.col(quantity))
+    own = F.col(amount) if amount in sales.columns else F.lit(None)
+    return joined.select(
         *known,
-        *(F.col(f"product.{c}").alias(c) for c in details if c not in known),
-        (_wide(products, price, F.col(f"product.{price}")) * _wide(sales, quantity, F.col(quantity))).alias(amount),
+        *(F.when(found, F.col(f"product.{c}")).alias(c) for c in details if c not in known),
+        F.when(found, priced).otherwise(own.cast(joined.select(priced).schema[0].dataType)).alias(amount),
+        F.when(found, None)
+        .when(F.col("n_products") > 1, "ambiguous_product")
+        .otherwise("unknown_product")
+        .alias("reason"),
     )
-    unmatched = joined.where(~F.coalesce(found, F.lit(False))).select(
-        *sales.columns,
-        F.when(F.col("n_products") > 1, "ambiguous_product").otherwise("unknown_product").alias("reason"),
-    )
-    return Enriched(enriched, unmatched)
+
+
+def enrich_sales(sales: DataFrame, products: DataFrame, **names: str) -> Enriched:
+    """``enrich_tagged`` split in two: priced sales, and those without one product, with the ``reason``."""
+    tagged = enrich_tagged(sales, products, **names)
+    unmatched = tagged.where(F.col("reason").isNotNull()).select(*sales.columns, "reason")
+    return Enriched(tagged.where(F.col("reason").isNull()).drop("reason"), unmatched)
 
 
 def _wide(df: DataFrame, name: str, value):
@@ -99,34 +120,54 @@ def _wide(df: DataFrame, name: str, value):
 
 
 def rows_per_file(rows: DataFrame, name_pattern: str = r"([^/]+)$") -> DataFrame:
-    """``file_name`` and ``n_rows`` for every file a table is read from; the pattern's first group is the name."""
-    per_path = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return per_path.select(F.regexp_extract("path", name_pattern, 1).alias("file_name"), "n_rows")
+    """``file_name``, ``n_rows`` and ``n_files`` for the files a table is read from.
+
+    The pattern's first group is the name. A table that is itself a folder of parts is named by a pattern
+    that ends at the folder, and its parts count as one file. Files of one name in different folders are
+    different files: one row tells their rows and that ``n_files`` is over 1.
+    """
+    path = F.col("_metadata.file_path")
+    located = rows.select(
+        F.regexp_extract(path, f"^(.*?){name_pattern}", 1).alias("folder"),
+        F.regexp_extract(path, name_pattern, 1).alias("file_name"),
+    )
+    per_file = located.groupBy("folder", "file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return per_file.groupBy("file_name").agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
 
 
 def expected_count_check(counted: DataFrame, control: DataFrame, file_col: str, expected_col: str) -> DataFrame:
-    """Compare counted rows (``n_rows``, added up per file) with a control table.
+    """Compare counted rows (``n_rows``, and ``n_files`` if known) with a control table.
 
     ``status``: match, mismatch, missing (no rows for the file), unexpected (not in the
-    control table) or ambiguous (the control table lists the file more than once).
+    control table) or ambiguous (the control table lists the file more than once, or several
+    files have its name).
     """
     long = lambda column: column.cast("long")
+    n_files = F.col("n_files") if "n_files" in counted.columns else F.lit(1)
     both = counted.select(
-        file_col, long(F.col("n_rows")).alias("n_rows"), long(F.lit(None)).alias("expected"), F.lit(0).alias("listed")
+        file_col,
+        long(F.col("n_rows")).alias("n_rows"),
+        long(n_files).alias("n_files"),
+        long(F.lit(None)).alias("expected"),
+        F.lit(0).alias("listed"),
     ).unionByName(
         control.select(
             file_col,
             long(F.lit(None)).alias("n_rows"),
+            long(F.lit(0)).alias("n_files"),
             long(F.col(expected_col)).alias("expected"),
             F.lit(1).alias("listed"),
         )
     )
     per_file = both.groupBy(file_col).agg(
-        F.sum("n_rows").alias("actual_rows"), F.max("expected").alias("expected"), F.sum("listed").alias("listed")
+        F.sum("n_rows").alias("actual_rows"),
+        F.max("n_files").alias("n_files"),
+        F.max("expected").alias("expected"),
+        F.sum("listed").alias("listed"),
     )
     status = (
         F.when(F.col("listed") == 0, "unexpected")
-        .when(F.col("listed") > 1, "ambiguous")
+        .when((F.col("listed") > 1) | (F.col("n_files") > 1), "ambiguous")
         .when(F.col("actual_rows").isNull(), "missing")
         .when(F.col("actual_rows").eqNullSafe(F.col("expected")), "match")
         .otherwise("mismatch")

@@ -1,13 +1,12 @@
-"""Joins that hold up when one key owns a large share of the rows.
+"""Joins that never multiply rows and hold up when one key owns a large share of them.
 
-How to join depends on what the keys look like, so these functions look first: they count
-rows per key (keys only, combined before the shuffle), keep the conspicuous keys in a table
-in the shared folder, and plan by what that holds. Usually it is empty and a plain join is left.
+Everything here is a lazy plan: nothing runs before the result is used. How often a key occurs is
+counted inside the plan, combined before the shuffle, so a hot key is one row per task there. Rows that
+have to be joined whole are joined by plain sort-merge joins whose two sides are both fresh shuffles;
+where a key fills a partition, Spark splits that partition by its size in bytes
+(``spark.sql.adaptive.skewJoin``). Rows with a null key match nothing and never enter a shuffle.
 
-A side is broadcast only when its size was checked: Spark's estimate is within
-``spark.sql.autoBroadcastJoinThreshold``, or its rows were counted, or there are at most
-``rows / hot_key_rows`` of them by construction. Everything else is shuffled. Rows with a
-null key match nothing and never enter a shuffle.
+A side is broadcast only if Spark's estimate of it is within ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -15,31 +14,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.predicates import all_present, any_missing
-from rowloom.workspace import materialize
 
 LEFT, RIGHT = "left__", "right__"
-HOT_KEY_SETTING = "spark.rowloom.hotKeyRows"
-HOT_KEY_ROWS = 1_000_000
-BROADCAST_KEYS_SETTING = "spark.rowloom.broadcastKeys"
-BROADCAST_KEYS = 500_000
-
-
-def hot_key_rows(spark: SparkSession) -> int:
-    """Number of rows from which a key is too large for one task."""
-    return int(spark.conf.get(HOT_KEY_SETTING, str(HOT_KEY_ROWS)))
-
-
-def broadcast_keys(spark: SparkSession) -> int:
-    """Number of keys up to which a counted list of keys is broadcast."""
-    return int(spark.conf.get(BROADCAST_KEYS_SETTING, str(BROADCAST_KEYS)))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark estimates ``df`` to be within its own broadcast limit."""
+    """Whether Spark estimates ``df`` to be within its own broadcast limit.
+
+    The estimate is read from the JVM's plan, which a Spark Connect session does not offer.
+    """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(estimate)) <= limit
@@ -53,27 +40,18 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 def join_unique(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join ``rows`` to a ``lookup`` that holds each key at most once.
 
-    ``how`` is inner, left, left_semi or left_anti. Rows of a hot key are matched
-    against the broadcast lookup row of that key, all others by a shuffle.
+    ``how`` is inner, left, left_semi or left_anti. All of them let Spark split the partition of a
+    hot key on the side of ``rows``, provided both sides are fresh shuffles; so the lookup, usually an
+    aggregate by the keys, is joined by a struct of them. Null keys bypass the shuffle.
     """
     keys = list(keys)
     if fits_broadcast(lookup):
         return rows.join(F.broadcast(lookup), keys, how)
-    present = rows.where(all_present(keys))
-    copies = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = materialize(copies.where(F.col("n") >= hot_key_rows(rows.sparkSession)).select(*keys))
-    if hot.isEmpty():
-        parts = [present.join(lookup, keys, how)]
-    else:
-        hot = F.broadcast(hot)
-        hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
-        parts = [
-            present.join(hot, keys, "left_anti").join(lookup, keys, how),
-            present.join(hot, keys, "left_semi").join(hot_lookup, keys, how),
-        ]
-    if how in ("left", "left_anti"):
-        parts.append(rows.where(any_missing(keys)))
-    return union_all(parts)
+    details = [c for c in lookup.columns if c not in keys]
+    fresh = lookup.where(all_present(keys)).select(F.struct(*keys).alias("lookup__key"), *details)
+    joined = rows.where(all_present(keys)).join(fresh, F.struct(*keys) == F.col("lookup__key"), how)
+    joined = joined.drop("lookup__key") if how in ("inner", "left") else joined
+    return union_all([joined, rows.where(any_missing(keys))]) if how in ("left", "left_anti") else joined
 
 
 def keep_matching(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,15 +69,11 @@ def _filter_by(rows: DataFrame, other: DataFrame, keys: list[str], how: str) ->
     if fits_broadcast(other_keys):
         return rows.join(F.broadcast(other_keys), keys, how)
     if fits_broadcast(rows):
-        return rows.join(F.broadcast(_shared_keys(other, rows, keys).distinct()), keys, how)
+        shared = other_keys.join(F.broadcast(rows.select(*keys)), keys, "left_semi").distinct()
+        return rows.join(F.broadcast(shared), keys, how)  # no more keys than ``rows`` holds
     return join_unique(rows, other_keys.distinct(), keys, how)
 
 
-def _shared_keys(large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the large side that the small one has. Distinct, they are no more than the small side holds."""
-    return large.select(*keys).join(F.broadcast(small.select(*keys)), keys, "left_semi")
-
-
 def pair_by_key(
     left: DataFrame,
     right: DataFrame,
@@ -124,45 +98,19 @@ def pair_by_key(
     """
     keys = list(keys)
     lrows, rrows = _prefixed(left, keys, LEFT), _prefixed(right, keys, RIGHT)
-    repeated = (F.col("n_left") > 1) | (F.col("n_right") > 1)
-
     if fits_broadcast(right):
-        alone: list[DataFrame] = []
-        shared = _shared_keys(lrows, rrows, keys)
-        if not unique_keys:  # one row per key of the right: small as well
-            copies = materialize(_copies_per_key(shared, rrows, keys))
-            lrows, rrows, alone = _set_apart(lrows, rrows, copies.where(repeated), keys, small=True)
-            shared = copies.where(F.col("n_left") > 0).select(*keys)
-        if matched_only:
-            return _matched(lrows, F.broadcast(rrows), keys)
-        return union_all([*_pair_by_lookup(lrows, rrows, shared, keys), *alone])
-
-    lrows, rrows, alone = _set_null_keys_apart(lrows, rrows, keys)
+        return _pair_by_lookup(lrows, rrows, keys, unique_keys, matched_only)
     if not unique_keys:
-        copies = materialize(_copies_per_key(lrows, rrows, keys).where(repeated))
-        lrows, rrows, apart = _set_apart(lrows, rrows, copies, keys, small=False)
-        alone += apart
+        return _pair_by_count(lrows, rrows, keys, matched_only)
+    present_left, present_right = lrows.where(all_present(keys)), rrows.where(all_present(keys))
     if matched_only:
-        return _matched(lrows, rrows, keys)
-    return union_all([_pair_by_shuffle(lrows, rrows, keys), *alone])
+        return present_left.join(present_right, keys, "inner").withColumns(_pair(True, True, F.lit(1), F.lit("both")))
+    return union_all([_pair_by_shuffle(present_left, present_right, keys), *_null_keys(lrows, rrows, keys)])
 
 
 def rows_without_partner(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``pair_by_key`` other than ``both``.
-
-    Two large sides are not joined: the keys are counted, and only the rows of keys that do
-    not occur once on each side are taken from the tables. When those keys are few, which is
-    usual for two copies of a table, no row is shuffled.
-    """
-    keys = list(keys)
-    if fits_broadcast(right):
-        return pair_by_key(left, right, keys).where(F.col("pairing") != "both")
-    lrows, rrows = _prefixed(left, keys, LEFT), _prefixed(right, keys, RIGHT)
-    lrows, rrows, alone = _set_null_keys_apart(lrows, rrows, keys)
-    single = (F.col("n_left") == 1) & (F.col("n_right") == 1)
-    copies = materialize(_copies_per_key(lrows, rrows, keys).where(~single))
-    _, _, apart = _set_apart(lrows, rrows, copies, keys, small=False)
-    return union_all([*alone, *apart])
+    """The rows of ``pair_by_key`` other than ``both``."""
+    return pair_by_key(left, right, keys).where(F.col("pairing") != "both")
 
 
 def _prefixed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -178,75 +126,95 @@ def _pair(has_left: bool, has_right: bool, right_copies: Column, pairing: Column
     }
 
 
-def _set_null_keys_apart(
-    lrows: DataFrame, rrows: DataFrame, keys: list[str]
-) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Both sides without their rows of null keys, and those rows."""
-    alone = [
+def _null_keys(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> list[DataFrame]:
+    return [
         lrows.where(any_missing(keys)).withColumns(_pair(True, False, F.lit(0), F.lit("left"))),
         rrows.where(any_missing(keys)).withColumns(_pair(False, True, F.lit(1), F.lit("right"))),
     ]
-    return lrows.where(all_present(keys)), rrows.where(all_present(keys)), alone
 
 
-def _matched(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
-    return lrows.join(rrows, keys, "inner").withColumns(_pair(True, True, F.lit(1), F.lit("both")))
-
-
-def _copies_per_key(left_keys: DataFrame, right_keys: DataFrame, keys: list[str]) -> DataFrame:
-    """``n_left`` and ``n_right``, the rows of each key on both sides."""
-    return (
-        left_keys.select(*keys, F.lit(1).alias("n_left"), F.lit(0).alias("n_right"))
-        .unionByName(right_keys.select(*keys, F.lit(0).alias("n_left"), F.lit(1).alias("n_right")))
-        .where(all_present(keys))
-        .groupBy(*keys)
-        .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
-    )
+def _pair_by_count(lrows: DataFrame, rrows: DataFrame, keys: list[str], matched_only: bool) -> DataFrame:
+    """Both sides are large. One aggregate over both counts each key and keeps the values of a row of each side.
 
+    For keys that occur at most once on each side that is the result; a row with a null key is a group of
+    its own, so such rows spread over all tasks. Only the rows of the other keys are read again: they meet
+    the counts of their keys, counted from the key columns alone, in a join of two fresh shuffles.
+    """
+    tagged = union_all([lrows.withColumn("has_left", F.lit(True)), rrows.withColumn("has_left", F.lit(False))])
+    values = [c for c in tagged.columns if c not in keys and c != "has_left"]
+    counts = [F.count_if("has_left").alias("n_left"), F.count_if(~F.col("has_left")).alias("n_right")]
+    n_left, n_right = F.col("n_left"), F.col("n_right")
+    one_sided = F.when(n_left == 0, "right").when(n_right == 0, "left")
+    columns = [*keys, *values, "has_left", "has_right", "right_copies", "pairing"]
 
-def _set_apart(
-    lrows: DataFrame, rrows: DataFrame, copies: DataFrame, keys: list[str], small: bool
-) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Both sides without the rows of the counted keys, and those rows one by one."""
-    n_keys = copies.count()
-    if n_keys == 0:
-        return lrows, rrows, []
-
-    spark = lrows.sparkSession
-    if small or n_keys <= broadcast_keys(spark):
-        steps = [F.broadcast(copies)]
-    else:  # the few keys with most rows leave before the shuffle, the many small ones after it
-        is_hot = F.col("n_left") + F.col("n_right") >= hot_key_rows(spark)
-        steps = [F.broadcast(copies.where(is_hot)), copies.where(~is_hot)]
-
-    def split(rows: DataFrame, values: dict[str, Column]) -> tuple[DataFrame, list[DataFrame]]:
-        apart = []
-        for step in steps:
-            apart.append(rows.join(step, keys, "inner").withColumns(values).drop("n_left", "n_right"))
-            rows = rows.join(step, keys, "left_anti")
-        return rows, apart
+    def named(rows: DataFrame, has_left: Column, has_right: Column, both_sides: str) -> DataFrame:
+        state = {"has_left": has_left, "has_right": has_right, "right_copies": n_right.cast("long")}
+        return rows.withColumns(state | {"pairing": one_sided.otherwise(both_sides)}).select(columns)
 
-    n_left, n_right = F.col("n_left"), F.col("n_right")
-    only_left = F.when(n_right == 0, "left").otherwise("ambiguous")
-    only_right = F.when(n_left == 0, "right").otherwise("ambiguous")
-    lrows, left_apart = split(lrows, _pair(True, False, n_right, only_left))
-    rrows, right_apart = split(rrows, _pair(False, True, n_right, only_right))
-    return lrows, rrows, [*left_apart, *right_apart]
+    one_of = [F.first(c, ignorenulls=True).alias(c) for c in values]
+    if matched_only:
+        grouped = tagged.where(all_present(keys)).groupBy(*keys).agg(*counts, *one_of)
+        return named(grouped.where((n_left == 1) & (n_right == 1)), n_left > 0, n_right > 0, "both")
+    alone = F.when(any_missing(keys), F.monotonically_increasing_id()).alias("alone")
+    grouped = tagged.groupBy(*keys, alone).agg(*counts, *one_of)
+    pairs = named(grouped.where((n_left <= 1) & (n_right <= 1)), n_left > 0, n_right > 0, "both")
+    # as a struct the keys are shuffled anew, so that a partition of a hot key can be split
+    present = tagged.where(all_present(keys))
+    repeated = (
+        present.groupBy(*keys)
+        .agg(*counts)
+        .where((n_left > 1) | (n_right > 1))
+        .select(F.struct(*keys).alias("repeated"), "n_left", "n_right")
+    )
+    again = present.join(repeated, F.struct(*keys) == F.col("repeated"))
+    return pairs.unionByName(named(again, F.col("has_left"), ~F.col("has_left"), "ambiguous"))
 
 
-def _pair_by_lookup(lrows: DataFrame, rrows: DataFrame, shared: DataFrame, keys: list[str]) -> list[DataFrame]:
+def _pair_by_lookup(
+    lrows: DataFrame, rrows: DataFrame, keys: list[str], unique_keys: bool, matched_only: bool
+) -> DataFrame:
     """The right side is small, and so are the keys both sides share: the left side is not shuffled."""
-    found = F.col("has_right").isNotNull()
-    from_left = lrows.join(F.broadcast(rrows.withColumn("has_right", F.lit(True))), keys, "left").withColumns(
-        _pair(True, True, F.when(found, 1).otherwise(0), F.when(found, "both").otherwise("left"))
-        | {"has_right": found}
+    present = rrows.where(all_present(keys))
+    others = [c for c in rrows.columns if c not in keys]
+    shared = lrows.select(*keys).join(F.broadcast(present.select(*keys)), keys, "left_semi")
+    on_left = shared.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_left"))  # no more keys than the right side has
+    if unique_keys:
+        looked_up = present.withColumns({"n_left": F.lit(1), "n_right": F.lit(1)})
+    else:
+        looked_up = (
+            present.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_right"), *(F.first(c, ignorenulls=True).alias(c) for c in others))
+            .join(F.broadcast(on_left), keys, "left")
+        )
+    n_left, n_right = F.col("n_left"), F.col("n_right")
+    is_pair = F.coalesce((n_left == 1) & (n_right == 1), F.lit(False))
+    found = lrows.join(F.broadcast(looked_up), keys, "inner" if matched_only else "left")
+    from_left = found.select(
+        *lrows.columns,
+        *(F.when(is_pair, F.col(c)).alias(c) for c in others),
+        F.lit(True).alias("has_left"),
+        is_pair.alias("has_right"),
+        F.coalesce(n_right, F.lit(0)).cast("long").alias("right_copies"),
+        F.when(is_pair, "both").when(n_right.isNotNull(), "ambiguous").otherwise("left").alias("pairing"),
+    )
+    if matched_only:
+        return from_left.where(F.col("pairing") == "both")
+    if unique_keys:
+        alone = rrows.join(F.broadcast(on_left), keys, "left_anti")
+        return union_all([from_left, alone.withColumns(_pair(False, True, F.lit(1), F.lit("right")))])
+    counts = F.broadcast(looked_up.select(*keys, "n_left", "n_right"))
+    pairing = F.when(n_left.isNull(), "right").otherwise("ambiguous")
+    from_right = (
+        rrows.join(counts, keys, "left")
+        .where(~is_pair)
+        .withColumns(_pair(False, True, F.coalesce(n_right, F.lit(1)), pairing))
+        .drop("n_left", "n_right")
     )
-    from_right = rrows.join(F.broadcast(shared), keys, "left_anti")
-    return [from_left, from_right.withColumns(_pair(False, True, F.lit(1), F.lit("right")))]
+    return union_all([from_left, from_right])
 
 
 def _pair_by_shuffle(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
-    """Both sides are large: one shuffle of each, on the keys."""
+    """Both sides are large and their keys unique: one shuffle of each, on the keys."""
     no_left, no_right = F.col("has_left").isNull(), F.col("has_right").isNull()
     return (
         lrows.withColumn("has_left", F.lit(True))

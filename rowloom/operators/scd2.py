@@ -58,6 +58,10 @@ def scd2_merge(
     ``missing`` says what becomes of active keys the extract lacks: ``keep`` them or
     ``expire`` them. Rows that ``classify_changes`` rejects change nothing: those of the
     master stay as they are, those of the delta are left to ``rejected_rows``.
+
+    A version that started after ``run_date`` is newer than the extract: a late extract neither
+    closes nor replaces it, so no version ends before it starts. ``late_rows`` returns what such an
+    extract would have changed.
     """
     if missing not in ("keep", "expire"):
         raise ValueError(f"missing must be 'keep' or 'expire', not {missing!r}")
@@ -85,7 +89,7 @@ def scd2_merge(
         **{audit.start: today, audit.end: F.lit(HIGH_DATE).cast("date"), audit.flag: F.lit(audit.active)},
     )
     status = F.col("status")
-    stays = (status == COMMON) | ((status == REJECTED) & F.col("has_left"))
+    stays = (status == COMMON) | ((status == REJECTED) & F.col("has_left")) | _is_late(audit, run_date)
     versions = (
         F.when(stays, F.array(kept))
         .when(status == UPDATED, F.array(expired, opened))
@@ -95,6 +99,28 @@ def scd2_merge(
     return flat.select(F.inline(versions)).unionByName(master.where(~is_active))
 
 
+def _is_late(audit: Versioning, run_date: date) -> Column:
+    """Whether the active version of a classified row started after the run date."""
+    started = F.col(LEFT + audit.start).cast("date")
+    return F.col("has_left") & F.coalesce(started > F.lit(run_date).cast("date"), F.lit(False))
+
+
+def late_rows(
+    master: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str],
+    run_date: date,
+    audit: Versioning = Versioning(),
+) -> DataFrame:
+    """The delta rows that a merge leaves out because the active version of their key is newer."""
+    is_active = F.col(audit.flag).eqNullSafe(F.lit(audit.active))
+    flat = classify_flat(master.where(is_active), delta, keys, compare)
+    return flat.where((F.col("status") == UPDATED) & _is_late(audit, run_date)).select(
+        *(F.col(c if c in keys else RIGHT + c).alias(c) for c in delta.columns)
+    )
+
+
 def rejected_rows(
     master: DataFrame,
     delta: DataFrame,

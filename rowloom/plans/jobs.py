@@ -21,14 +21,29 @@ from rowloom.sources.tables import write_table
 NULL_MARK = "\\N"
 
 
-def _write_tagged(rows: DataFrame, path: str, sep: str) -> None:
-    write_delimited(rows, path, sep=sep, null_value=NULL_MARK, partition_by=["is_valid"])
+def _read_checked(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str, **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the schema, and the text of the lines that do not."""
+    rows = read_delimited(spark, path, schema, sep=sep, **options)
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), unreadable_lines(rows).select(CORRUPT)
+
+
+def _write_tagged(rows: DataFrame, unreadable: DataFrame, path: str, sep: str) -> None:
+    write_delimited(rows, f"{path}/rows", sep=sep, null_value=NULL_MARK, partition_by=["is_valid"])
+    unreadable.write.mode("overwrite").text(f"{path}/unreadable")
 
 
 def read_tagged(spark: SparkSession, path: str, schema: T.StructType, is_valid: bool, sep: str = "|") -> DataFrame:
-    """The valid or the held rows of an earlier ingestion."""
-    part = f"{path}/is_valid={str(is_valid).lower()}"
-    return read_delimited(spark, part, schema, sep=sep, null_value=NULL_MARK, check=False)
+    """The valid or the held rows of an earlier ingestion; none if the part was not written."""
+    tagged = T.StructType([*schema.fields, T.StructField("is_valid", T.BooleanType())])
+    rows = read_delimited(spark, f"{path}/rows", tagged, sep=sep, null_value=NULL_MARK, check=False)
+    return rows.where(F.col("is_valid") == is_valid).drop("is_valid")
+
+
+def read_unreadable(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that an earlier ingestion could not read, in a column ``value``."""
+    return spark.read.text(f"{path}/unreadable")
 
 
 def ingest_first_day(
@@ -39,9 +54,9 @@ def ingest_first_day(
     required: Sequence[str] = ("Quantity_Sold", "Vendor_ID"),
     sep: str = "|",
 ) -> None:
-    """Split the landing files into valid and held rows."""
-    rows = read_delimited(spark, landing, schema, sep=sep, check=False)
-    _write_tagged(ingest.tag_valid(rows, required), target, sep)
+    """Split the landing files into valid rows, held rows and lines that do not fit the schema."""
+    rows, unreadable = _read_checked(spark, landing, schema, sep)
+    _write_tagged(ingest.tag_valid(rows, required), unreadable, target, sep)
 
 
 def ingest_next_day(
@@ -55,11 +70,23 @@ def ingest_next_day(
     sep: str = "|",
 ) -> None:
     """Repair today's rows from the rows held the day before, split them, and carry the rest of the held rows."""
-    today = read_delimited(spark, landing, schema, sep=sep, check=False)
+    today, unreadable = _read_checked(spark, landing, schema, sep)
     held = read_tagged(spark, previous, schema, is_valid=False, sep=sep)
-    repaired = ingest.tag_valid(ingest.repaired_rows(today, held, keys, required), required)
-    carried = ingest.carried_rows(today, held, keys).withColumn("is_valid", F.lit(False))
-    _write_tagged(repaired.unionByName(carried), target, sep)
+    _write_tagged(ingest.repair_tagged(today, held, keys, required), unreadable, target, sep)
+
+
+# The columns of the enriched sales, in order.
+ENRICHED_COLUMNS = [
+    "Sale_ID",
+    "Product_ID",
+    "Product_Name",
+    "Product_Price",
+    "Quantity_Sold",
+    "Vendor_ID",
+    "Sale_Date",
+    "Sale_Amount",
+    "Sale_Currency",
+]
 
 
 def enrich_day(
@@ -70,22 +97,44 @@ def enrich_day(
     sales_schema: T.StructType,
     product_schema: T.StructType,
     sep: str = "|",
-) -> ingest.Enriched:
-    """Price the valid sales of a day and write them; returns both parts, the unmatched one unwritten."""
+) -> None:
+    """Price the valid sales of a day. One join and one write give the priced sales and, with the reason,
+    those whose product is unknown or listed more than once (``read_enriched`` reads either)."""
     sales = read_tagged(spark, ingested, sales_schema, is_valid=True, sep=sep)
-    reference = read_delimited(spark, products, product_schema, sep=sep, check=False)
-    result = ingest.enrich_sales(sales, reference)
-    columns = ["Sale_ID", "Product_ID", "Product_Name", "Product_Price", "Quantity_Sold", "Vendor_ID", "Sale_Date"]
-    write_delimited(result.enriched.select(*columns, "Sale_Amount", "Sale_Currency"), target, sep=sep)
-    return result
+    reference, unreadable = _read_checked(spark, products, product_schema, sep)
+    priced = ingest.enrich_tagged(sales, reference)
+    outcome = F.coalesce("reason", F.lit("enriched")).alias("outcome")
+    rows = priced.select(*ENRICHED_COLUMNS, outcome)
+    write_delimited(rows, f"{target}/rows", sep=sep, null_value=NULL_MARK, partition_by=["outcome"])
+    unreadable.write.mode("overwrite").text(f"{target}/unreadable")
+
+
+def read_enriched(
+    spark: SparkSession, target: str, sales_schema: T.StructType, product_schema: T.StructType, sep: str = "|"
+) -> DataFrame:
+    """What ``enrich_day`` wrote, with its ``outcome``: enriched, unknown_product or ambiguous_product."""
+    empty = lambda schema: spark.createDataFrame([], schema)
+    columns = ingest.enrich_tagged(empty(sales_schema), empty(product_schema)).select(*ENRICHED_COLUMNS).schema
+    columns = columns.add("outcome", T.StringType())
+    return read_delimited(spark, f"{target}/rows", columns, sep=sep, null_value=NULL_MARK, check=False)
 
 
 def cdc_full_load(
     spark: SparkSession, extract: str, target: str, schema: T.StructType, run_ts: datetime
 ) -> None:
-    """First extract: stamp it and write it as the current records."""
-    rows = cdc.cdc_initial(read_delimited(spark, extract, schema, check=False), run_ts)
-    write_table(rows.withColumn("outcome", F.lit("current")), target, partition_by=["outcome"], mode="error")
+    """First extract: stamp it and write it as the current records; unreadable lines are rejected with their text."""
+    rows = read_delimited(spark, extract, schema)
+    stamped = cdc.cdc_initial(rows, run_ts)
+    outcome = F.when(F.col(CORRUPT).isNull(), "current").otherwise("rejected")
+    write_table(stamped.withColumn("outcome", outcome), target, partition_by=["outcome"], mode="error")
+
+
+def read_outcome(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All that a load wrote, with its ``outcome``; parts that were not written have no rows."""
+    stamps = [T.StructField(c, T.TimestampNTZType()) for c in cdc.STAMPS]
+    text = [T.StructField(CORRUPT, T.StringType()), T.StructField("outcome", T.StringType())]
+    plain = [T.StructField(f.name, f.dataType) for f in schema.fields]
+    return spark.read.schema(T.StructType([*plain, *stamps, *text])).parquet(path)
 
 
 def cdc_delta_load(
@@ -97,13 +146,21 @@ def cdc_delta_load(
     keys: Sequence[str],
     run_ts: datetime,
 ) -> cdc.CdcResult:
-    """Apply an extract to the current records of ``master`` and write all outcomes to the new path ``target``."""
-    current = spark.read.parquet(f"{master}/outcome=current")
-    delta = read_delimited(spark, extract, schema, check=False)
-    compare = [c for c in delta.columns if c not in keys]
-    outcome = cdc.cdc_outcome(current, delta, keys, compare, run_ts)
+    """Apply an extract to the current records of ``master`` and write all outcomes to the new path ``target``.
+
+    A line that does not fit the schema is rejected with its text. Where its key can be read, the record
+    of that key stays as it is, and so do readable rows of that key get rejected: what the source holds
+    for it is not known.
+    """
+    current = read_outcome(spark, master, schema).where("outcome = 'current'").drop("outcome", CORRUPT)
+    delta = read_delimited(spark, extract, schema)
+    outcome = cdc.cdc_outcome_checked(current, delta, keys, CORRUPT, run_ts)
     write_table(outcome, target, partition_by=["outcome"], mode="error")
-    return cdc.split_outcome(spark.read.schema(outcome.schema).parquet(target))
+    written = read_outcome(spark, target, schema)
+    part = lambda name: written.where(F.col("outcome") == name).drop("outcome")
+    return cdc.CdcResult(
+        part("current").drop(CORRUPT), part("deleted").drop(*cdc.STAMPS, CORRUPT), part("rejected").drop(*cdc.STAMPS)
+    )
 
 
 def dimension_load(
@@ -151,9 +208,13 @@ def eligible_users(rows: DataFrame) -> DataFrame:
     )
 
 
+# The city codes and what they stand for; any other code stands for the second.
+CITIES, OTHER_CITY = {"hyd": "hyderabad"}, "visakhapatnam"
+
+
 def transform_customers(rows: DataFrame) -> DataFrame:
     """Spell out the city, move the date of birth by two days and the number by one."""
-    recoded = cleanse.recode(rows, "city", {"hyd": "hyderabad"}, default="visakhapatnam")
+    recoded = cleanse.recode(rows, "city", CITIES, default=OTHER_CITY)
     return cleanse.shift_customer(recoded)
 
 

@@ -434,7 +434,7 @@ FROM customer"""
 
 ORACLES["semi_join_distinct"] = """
 SELECT event_id, user_id, event_type, value FROM events
-WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')"""
+WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND user_id % 3 = 0)"""
 
 ORACLES["ranked_by_score"] = """
 SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 500 ORDER BY c_acctbal DESC, c_custkey"""
@@ -504,3 +504,105 @@ ORACLES["stream_messages"] = "SELECT CAST(event_id AS VARCHAR) AS key, event_typ
 ORACLES["stream_split"] = """
 SELECT event_id, user_id, CASE WHEN event_id % 4 <> 0 THEN event_type END AS event_type, value, event_id % 4 <> 0 AS is_valid
 FROM events"""
+
+# ---- cases that must not lose or change rows
+
+ORACLES["scd2_late_extract"] = f"""
+WITH {CUSTOMER_DELTA},
+joined AS (
+  SELECT c.*, d.c_custkey AS found, d.c_name AS new_name, d.c_nationkey AS new_nation, d.c_acctbal AS new_balance,
+         d.c_mktsegment AS new_segment, c.c_custkey % 2 = 0 AS is_late
+  FROM customer c LEFT JOIN customer_delta d ON c.c_custkey = d.c_custkey),
+judged AS (
+  SELECT *, CASE WHEN is_late THEN 'stays' WHEN found IS NULL THEN 'expires'
+                 WHEN c_mktsegment IS DISTINCT FROM new_segment THEN 'changes' ELSE 'stays' END AS verdict FROM joined)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       CASE WHEN is_late THEN '2025-03-01' ELSE '2024-01-01' END AS eff_dt,
+       CASE WHEN verdict = 'stays' THEN '9999-12-31' ELSE '2024-12-01' END AS end_dt,
+       CASE WHEN verdict = 'stays' THEN 'Y' ELSE 'N' END AS act_in
+FROM judged
+UNION ALL
+SELECT c_custkey, new_name, new_nation, new_balance, new_segment, '2024-12-01', '9999-12-31', 'Y'
+FROM judged WHERE verdict = 'changes'
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, '2024-12-01', '9999-12-31', 'Y'
+FROM customer_delta WHERE c_custkey < 0"""
+
+ORDER_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+HIGH = "'9999-12-31 23:59:00'"
+ORACLES["cdc_malformed_extract"] = f"""
+WITH lines AS (
+  SELECT o_orderkey, o_orderkey % 5 = 0 OR o_orderkey % 6 = 0 AS bad, o_orderkey % 7 = 0 AS updated, o_orderkey % 11 <> 0 AS sent,
+         o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS new_status, {ORDER_DAY} AS day
+  FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CASE WHEN sent AND NOT bad THEN new_status ELSE o_orderstatus END AS o_orderstatus, day AS o_orderdate,
+       CASE WHEN sent AND NOT bad AND new_status <> o_orderstatus THEN '2024-12-01 00:00:00' ELSE '2024-01-01 00:00:00' END
+         AS eff_start_date,
+       {HIGH} AS eff_end_date, CAST(NULL AS VARCHAR) AS problem, CASE WHEN sent THEN 'current' ELSE 'deleted' END AS outcome
+FROM lines
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), new_status, CASE WHEN o_orderkey % 5 <> 0 THEN day END, NULL, NULL,
+       o_orderkey || ',' || new_status || ',' || CASE WHEN o_orderkey % 5 = 0 THEN '2020-13-01' ELSE day END
+         || CASE WHEN o_orderkey % 6 = 0 THEN ',more' ELSE '' END, 'rejected'
+FROM lines WHERE bad AND sent"""
+
+ORACLES["cdc_after_empty_extract"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, {ORDER_DAY} AS o_orderdate, '2024-12-01 00:00:00' AS eff_start_date,
+       {HIGH} AS eff_end_date, CAST(NULL AS VARCHAR) AS problem, 'current' AS outcome
+FROM orders"""
+
+ORACLES["ingest_malformed"] = f"""
+WITH {LANDED},
+lines AS (
+  SELECT *, Sale_ID % 9 = 0 OR Sale_ID % 10 = 0 AS bad,
+         CASE WHEN Sale_ID % 9 = 0 THEN 'five' ELSE coalesce(CAST(Quantity_Sold AS VARCHAR), '') END AS quantity FROM landed)
+SELECT CAST(Sale_ID AS VARCHAR) AS "Sale_ID", CAST(Quantity_Sold AS VARCHAR) AS "Quantity_Sold", Vendor_ID AS "Vendor_ID",
+       CASE WHEN Quantity_Sold IS NULL OR Vendor_ID IS NULL THEN 'hold' ELSE 'valid' END AS part, CAST(NULL AS VARCHAR) AS line
+FROM lines WHERE NOT bad
+UNION ALL
+SELECT NULL, NULL, NULL, 'unreadable', concat_ws('|', Sale_ID, Product_ID, quantity, coalesce(Vendor_ID, ''),
+       CASE WHEN Sale_ID % 10 = 0 THEN 'extra' END)
+FROM lines WHERE bad"""
+
+ORACLES["ingest_without_holds"] = f"""
+WITH {REPAIRED}
+SELECT * REPLACE ({QUANTITY_TEXT}), CASE WHEN Quantity_Sold IS NULL OR Vendor_ID IS NULL THEN 'hold' ELSE 'valid' END AS part
+FROM today"""
+
+ORACLES["enrich_day"] = f"""
+WITH {PRODUCTS},
+sold AS (SELECT l_partkey AS Product_ID, CAST(l_quantity AS BIGINT) AS q FROM lineitem WHERE l_orderkey % 9 <> 0)
+SELECT s.Product_ID AS "Product_ID", o.Product_Name AS "Product_Name",
+       CASE WHEN o.Product_ID IS NOT NULL THEN 'enriched'
+            WHEN s.Product_ID IN (SELECT Product_ID FROM known) THEN 'ambiguous_product' ELSE 'unknown_product' END AS outcome,
+       count(*) AS n_sales, CAST(sum(q) AS BIGINT) AS quantity,
+       CAST(sum(CAST(Product_Price * q AS DECIMAL(18,2))) AS VARCHAR) AS amount
+FROM sold s LEFT JOIN once o ON s.Product_ID = o.Product_ID GROUP BY ALL"""
+
+ORACLES["read_with_header"] = """
+SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, CAST(s_nationkey AS VARCHAR) AS as_text FROM supplier"""
+ORACLES["read_without_header"] = "SELECT CAST(n_nationkey AS VARCHAR) AS _c0, n_name AS _c1 FROM nation"
+ORACLES["write_timestamps"] = """
+SELECT CAST(event_id AS VARCHAR) AS _c0, strftime(ts, '%Y/%m/%d %H.%M.%S') AS _c1 FROM events"""
+ORACLES["files_of_one_name"] = """
+SELECT 'Sales.parquet' AS file_name, (SELECT CAST(count(*) AS VARCHAR) FROM nation) AS expected_rows,
+       CAST(2 * count(*) AS VARCHAR) AS actual_rows, 'ambiguous' AS status FROM supplier
+UNION ALL SELECT 'Nation.parquet', CAST(count(*) AS VARCHAR), CAST(count(*) AS VARCHAR), 'match' FROM nation"""
+ORACLES["daily_partition"] = """
+SELECT strftime(ts, '%Y-%m-%d') AS partition_date, count(*) AS n_rows FROM events GROUP BY 1"""
+ORACLES["read_partitions_where"] = f"""
+WITH {LOADS} SELECT {EVENT_COLUMNS} FROM third_state WHERE event_date <= DATE '2024-01-05'"""
+ORACLES["load_with_new_column"] = f"""
+WITH {LOADS}
+SELECT {EVENT_COLUMNS}, CAST(NULL AS VARCHAR) AS origin FROM daily
+UNION ALL SELECT {EVENT_COLUMNS}, 'late' FROM late"""
+ORACLES["load_after_empty_load"] = f"""
+WITH {LOADS}
+SELECT CAST(1 AS BIGINT) AS load_id, '2024-03-01 00:00:00' AS load_ts, 'append' AS operation, CAST(0 AS BIGINT) AS n_partitions,
+       CAST(0 AS BIGINT) AS n_rows
+UNION ALL SELECT 2, '2024-03-02 00:00:00', 'append', count(DISTINCT event_date), count(*) FROM daily
+UNION ALL SELECT 3, '2024-03-03 00:00:00', 'append', 0, 0
+UNION ALL SELECT 4, '2024-03-04 00:00:00', 'append', count(DISTINCT event_date), count(*) FROM late"""
+ORACLES["read_as_of_after_empty_load"] = f"WITH {LOADS} SELECT {EVENT_COLUMNS} FROM daily"
+ORACLES["stream_in_intervals"] = ORACLES["stream_ingest"]

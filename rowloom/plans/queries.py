@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -112,9 +113,14 @@ def _first_merge(spark, sf_dir, **options) -> DataFrame:
     )
 
 
+def _merge_again(spark, sf_dir, delta: DataFrame) -> DataFrame:
+    """A second merge on the written result of the first, whose open versions have unique keys."""
+    dimension = workspace.materialize(_first_merge(spark, sf_dir, unique_keys=True))
+    return scd2.scd2_merge(dimension, delta, CUSTOMER_KEY, SEGMENT, tb.SECOND_RUN, unique_keys=True)
+
+
 def _second_merge(spark, sf_dir) -> DataFrame:
-    customers = tb.table(spark, sf_dir, "customer")
-    return scd2.scd2_merge(_first_merge(spark, sf_dir), customers, CUSTOMER_KEY, SEGMENT, tb.SECOND_RUN)
+    return _merge_again(spark, sf_dir, tb.table(spark, sf_dir, "customer"))
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -136,10 +142,7 @@ def scd2_composite(spark, sf_dir):
 
 @query
 def scd2_replay(spark, sf_dir):
-    customers = tb.table(spark, sf_dir, "customer")
-    first = _first_merge(spark, sf_dir)
-    delta = tb.customer_delta(customers)
-    return _dated(scd2.scd2_merge(first, delta, CUSTOMER_KEY, SEGMENT, tb.SECOND_RUN))
+    return _dated(_merge_again(spark, sf_dir, tb.customer_delta(tb.table(spark, sf_dir, "customer"))))
 
 
 @query
@@ -147,6 +150,19 @@ def scd2_second_load(spark, sf_dir):
     return _dated(_second_merge(spark, sf_dir))
 
 
+@query
+def scd2_late_extract(spark, sf_dir):
+    """Versions of even customers start after the run date; the extract is older than they are."""
+    customers = tb.table(spark, sf_dir, "customer")
+    started = F.when(tb.every("c_custkey", 2), F.lit(tb.SECOND_RUN)).otherwise(F.col("eff_dt"))
+    dimension = scd2.open_versions(customers, tb.OPENED).withColumn("eff_dt", started)
+    return _dated(
+        scd2.scd2_merge(
+            dimension, tb.customer_delta(customers), CUSTOMER_KEY, SEGMENT, tb.FIRST_RUN, missing="expire"
+        )
+    )
+
+
 @query
 def scd2_repeated_keys(spark, sf_dir):
     lines = tb.table(spark, sf_dir, "lineitem")
@@ -200,6 +216,48 @@ def cdc_outcome(spark, sf_dir):
     return _text(cdc.cdc_outcome(master, delta, LINE_KEY, LINE_COMPARE, tb.MERGED), *cdc.STAMPS)
 
 
+CDC_SCHEMA = T.StructType().add("o_orderkey", "long").add("o_orderstatus", "string").add("o_orderdate", "date")
+
+
+def _extract_lines(orders: DataFrame, day: str) -> DataFrame:
+    """Order extracts as lines. On the second day some dates cannot be read and some lines are too long."""
+    key = F.col("o_orderkey").cast("string")
+    date_text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    if day == "first":
+        return orders.select(F.concat_ws(",", key, "o_orderstatus", date_text).alias("value"))
+    status = F.when(tb.every("o_orderkey", 7), "X").otherwise(F.col("o_orderstatus"))
+    wrong = F.when(tb.every("o_orderkey", 5), "2020-13-01").otherwise(date_text)
+    surplus = F.when(tb.every("o_orderkey", 6), "more")
+    return orders.where(~tb.every("o_orderkey", 11)).select(F.concat_ws(",", key, status, wrong, surplus).alias("value"))
+
+
+def _captured(spark, sf_dir, *days: str) -> DataFrame:
+    """Captured extracts one after the other; the last outcome. ``empty`` is an extract without lines."""
+    orders, folder = tb.table(spark, sf_dir, "orders"), workspace.scratch_path(spark, "capture")
+    for n, day in enumerate(days):
+        lines = _extract_lines(orders, "first" if day == "empty" else day)
+        (lines.limit(0) if day == "empty" else lines).write.text(f"{folder}/extract{n}")
+        extract, target = f"{folder}/extract{n}", f"{folder}/master{n}"
+        if n == 0:
+            jobs.cdc_full_load(spark, extract, target, CDC_SCHEMA, tb.STAMPED)
+        else:
+            master = f"{folder}/master{n - 1}"
+            jobs.cdc_delta_load(spark, extract, master, target, CDC_SCHEMA, ORDER_KEY, tb.MERGED)
+    written = jobs.read_outcome(spark, f"{folder}/master{len(days) - 1}", CDC_SCHEMA)
+    return _text(written.withColumnRenamed(delimited.CORRUPT, "problem"), "o_orderkey", "o_orderdate", *cdc.STAMPS)
+
+
+@query
+def cdc_malformed_extract(spark, sf_dir):
+    return _captured(spark, sf_dir, "first", "second")
+
+
+@query
+def cdc_after_empty_extract(spark, sf_dir):
+    """An empty extract empties the master; the next one fills it again."""
+    return _captured(spark, sf_dir, "first", "empty", "first")
+
+
 # ---- reconciliation
 
 
@@ -322,13 +380,76 @@ def ingest_next_day(spark, sf_dir):
     delimited.write_delimited(tb.landing_today(orders), f"{folder}/landing2", sep="|")
     jobs.ingest_first_day(spark, f"{folder}/landing1", f"{folder}/day1", LANDING_SCHEMA)
     jobs.ingest_next_day(spark, f"{folder}/landing2", f"{folder}/day1", f"{folder}/day2", LANDING_SCHEMA)
+    return _ingested(spark, f"{folder}/day2")
+
+
+def _ingested(spark, path: str) -> DataFrame:
     parts = [
-        jobs.read_tagged(spark, f"{folder}/day2", LANDING_SCHEMA, is_valid).withColumn("part", F.lit(name))
+        jobs.read_tagged(spark, path, LANDING_SCHEMA, is_valid).withColumn("part", F.lit(name))
         for is_valid, name in ((True, "valid"), (False, "hold"))
     ]
     return _text(parts[0].unionByName(parts[1]), "Quantity_Sold")
 
 
+@query
+def ingest_malformed(spark, sf_dir):
+    """Landing lines with a surplus field or a quantity that is no number are kept apart with their text."""
+    folder = workspace.scratch_path(spark, "ingest")
+    quantity = F.when(tb.every("Sale_ID", 9), "five").otherwise(F.col("Quantity_Sold").cast("string"))
+    surplus = F.when(tb.every("Sale_ID", 10), "extra")
+    fields = ["Sale_ID", "Product_ID", F.coalesce(quantity, F.lit("")), F.coalesce("Vendor_ID", F.lit("")), surplus]
+    rows = tb.landing(tb.table(spark, sf_dir, "orders"), 4, 6)
+    rows.select(F.concat_ws("|", *fields).alias("value")).write.text(f"{folder}/landing")
+    jobs.ingest_first_day(spark, f"{folder}/landing", f"{folder}/day", LANDING_SCHEMA)
+    lines = jobs.read_unreadable(spark, f"{folder}/day").select(F.col("value").alias("line"), F.lit("unreadable").alias("part"))
+    return _ingested(spark, f"{folder}/day").unionByName(_text(lines, "line"), allowMissingColumns=True).select(
+        F.col("Sale_ID").cast("string").alias("Sale_ID"), "Quantity_Sold", "Vendor_ID", "part", "line"
+    )
+
+
+@query
+def ingest_without_holds(spark, sf_dir):
+    """No row of the first day is held; the second day is repaired from nothing."""
+    orders, folder = tb.table(spark, sf_dir, "orders"), workspace.scratch_path(spark, "ingest")
+    whole = tb.landing(orders, 4, 6).dropna()
+    delimited.write_delimited(whole, f"{folder}/landing1", sep="|")
+    delimited.write_delimited(tb.landing_today(orders), f"{folder}/landing2", sep="|")
+    jobs.ingest_first_day(spark, f"{folder}/landing1", f"{folder}/day1", LANDING_SCHEMA)
+    jobs.ingest_next_day(spark, f"{folder}/landing2", f"{folder}/day1", f"{folder}/day2", LANDING_SCHEMA)
+    return _ingested(spark, f"{folder}/day2")
+
+
+SOLD_SCHEMA = "Sale_ID long, Product_ID long, Quantity_Sold long, Vendor_ID string, Sale_Date date, Sale_Amount double, Sale_Currency string"
+PRODUCT_SCHEMA = "Product_ID long, Product_Name string, Product_Price double"
+
+
+@query
+def enrich_day(spark, sf_dir):
+    """Both outcomes of one pass: priced sales, and those without one product."""
+    folder = workspace.scratch_path(spark, "enrich")
+    schemas = [T.StructType.fromDDL(s) for s in (SOLD_SCHEMA, PRODUCT_SCHEMA)]
+    lines = tb.table(spark, sf_dir, "lineitem")
+    sold = lines.select(
+        F.col("l_orderkey").alias("Sale_ID"),
+        F.col("l_partkey").alias("Product_ID"),
+        F.col("l_quantity").cast("long").alias("Quantity_Sold"),
+        F.when(~tb.every("l_orderkey", 9), F.col("l_suppkey").cast("string")).alias("Vendor_ID"),
+        F.lit("2024-01-31").alias("Sale_Date"),
+        F.lit(None).cast("double").alias("Sale_Amount"),
+        F.lit("USD").alias("Sale_Currency"),
+    )
+    delimited.write_delimited(sold, f"{folder}/landing", sep="|")
+    delimited.write_delimited(tb.products(tb.table(spark, sf_dir, "part")), f"{folder}/products", sep="|")
+    jobs.ingest_first_day(spark, f"{folder}/landing", f"{folder}/day", schemas[0])
+    jobs.enrich_day(spark, f"{folder}/day", f"{folder}/products", f"{folder}/priced", *schemas)
+    rows = jobs.read_enriched(spark, f"{folder}/priced", *schemas)
+    return rows.groupBy("Product_ID", "Product_Name", "outcome").agg(
+        F.count(F.lit(1)).alias("n_sales"),
+        F.sum("Quantity_Sold").alias("quantity"),
+        F.format_number(F.sum(F.col("Sale_Amount").cast("decimal(18,2)")), "0.00").alias("amount"),
+    )
+
+
 @query
 def enrich_sales(spark, sf_dir):
     sold, reference = tb.sales(tb.table(spark, sf_dir, "lineitem")), tb.products(tb.table(spark, sf_dir, "part"))
@@ -461,8 +582,9 @@ def split_contact(spark, sf_dir):
 
 @query
 def semi_join_distinct(spark, sf_dir):
+    """The reference holds a part of the users, several times each."""
     events = tb.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    buyers = events.where(F.col("event_type") == "purchase").select("user_id").distinct()
+    buyers = events.where((F.col("event_type") == "purchase") & tb.every("user_id", 3)).select("user_id")
     return cleanse.semi_join_distinct(events, buyers, ["user_id"])
 
 
@@ -515,6 +637,61 @@ def read_delimited(spark, sf_dir):
     return _text(rows, "p_retailprice", "p_since").withColumnRenamed(delimited.CORRUPT, "problem")
 
 
+@query
+def read_with_header(spark, sf_dir):
+    """Columns by header, with a schema that is itself a file."""
+    folder = workspace.scratch_path(spark, "delimited")
+    suppliers = tb.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    delimited.write_delimited(suppliers, f"{folder}/named", sep=";", header=True)
+    fields = [
+        {"fieldPosition": i, "fieldName": n, "fieldDataType": t}
+        for i, (n, t) in enumerate([("s_suppkey", "Long"), ("s_name", "String"), ("s_nationkey", "Integer")])
+    ]
+    spark.range(1).select(F.lit(json.dumps(fields)).alias("value")).coalesce(1).write.text(f"{folder}/schema")
+    schema = delimited.load_schema(spark, f"{folder}/schema")
+    typed = delimited.read_delimited(spark, f"{folder}/named", schema, sep=";", header=True)
+    named = delimited.read_delimited(spark, f"{folder}/named", sep=";", header=True)
+    return typed.drop(delimited.CORRUPT).join(named.select("s_name", F.col("s_nationkey").alias("as_text")), "s_name")
+
+
+@query
+def read_without_header(spark, sf_dir):
+    path = workspace.scratch_path(spark, "delimited")
+    delimited.write_delimited(tb.table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), path, sep="|")
+    return delimited.read_delimited(spark, path, sep="|")
+
+
+@query
+def write_timestamps(spark, sf_dir):
+    path = workspace.scratch_path(spark, "delimited")
+    events = tb.table(spark, sf_dir, "events").select("event_id", "ts")
+    delimited.write_delimited(events, path, timestamp_format="yyyy/MM/dd HH.mm.ss")
+    return delimited.read_delimited(spark, path)
+
+
+@query
+def files_of_one_name(spark, sf_dir):
+    """Two folders hold a file of the same name; the control table lists it once."""
+    folder = workspace.scratch_path(spark, "files")
+    for part in ("x", "y"):
+        tb.table(spark, sf_dir, "supplier").write.parquet(f"{folder}/{part}/Sales.parquet")
+    tb.table(spark, sf_dir, "nation").write.parquet(f"{folder}/z/Nation.parquet")
+    read = spark.read.option("recursiveFileLookup", "true").schema("s_suppkey long")
+    counted = ingest.rows_per_file(read.parquet(folder), r"([^/]+\.parquet)/")
+    names = F.explode(F.array(F.lit("Sales.parquet"), F.lit("Nation.parquet"))).alias("file_name")
+    control = tb.table(spark, sf_dir, "nation").agg(F.count(F.lit(1)).alias("row_count")).select(names, "row_count")
+    return _text(ingest.expected_count_check(counted, control, "file_name", "row_count"), "expected_rows", "actual_rows")
+
+
+@query
+def daily_partition(spark, sf_dir):
+    path = workspace.scratch_path(spark, "table")
+    events = tb.table(spark, sf_dir, "events").select("event_id", "ts")
+    tables.write_table(tables.daily_partition(events, "ts"), path, partition_by=["partition_date"])
+    days = spark.read.parquet(path).groupBy("partition_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return _text(days, "partition_date")
+
+
 @query
 def parse_delimited_text(spark, sf_dir):
     extra = F.when(tb.every("p_partkey", 17), "more")
@@ -589,6 +766,41 @@ def update_rows(spark, sf_dir):
     return _text(lake.read_as_of(spark, path), "event_date")
 
 
+@query
+def read_partitions_where(spark, sf_dir):
+    """Only the folders of the partitions that meet the condition are read."""
+    early = F.col("event_date") <= F.lit(datetime(2024, 1, 5).date())
+    rows = lake.read_as_of(spark, _loaded_table(spark, sf_dir), partition_by="event_date", partitions_where=early)
+    return _text(rows, "event_date")
+
+
+def _loads_with_gaps(spark, sf_dir) -> str:
+    """An empty first load, all events, another empty load, and late events with a column more."""
+    path, events = workspace.scratch_path(spark, "lake"), tb.daily_events(tb.table(spark, sf_dir, "events"))
+    late = events.where(tb.every("event_id", 5)).withColumns(
+        {"event_id": -F.col("event_id") - 1, "origin": F.lit("late")}
+    )
+    loads = [(events.limit(0), "replace"), (events, "replace"), (events.limit(0), "replace"), (late, "append")]
+    for n, (rows, mode) in enumerate(loads):
+        lake.load_partition(rows, path, "event_date", datetime(2024, 3, n + 1), mode=mode)
+    return path
+
+
+@query
+def load_with_new_column(spark, sf_dir):
+    return _text(lake.read_as_of(spark, _loads_with_gaps(spark, sf_dir)), "event_date")
+
+
+@query
+def load_after_empty_load(spark, sf_dir):
+    return _text(lake.list_snapshots(spark, _loads_with_gaps(spark, sf_dir)), "load_ts")
+
+
+@query
+def read_as_of_after_empty_load(spark, sf_dir):
+    return _text(lake.read_as_of(spark, _loads_with_gaps(spark, sf_dir), load_id=3), "event_date")
+
+
 # ---- streams
 
 
@@ -607,6 +819,18 @@ def stream_ingest(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
+@query
+def stream_in_intervals(spark, sf_dir):
+    folder = workspace.scratch_path(spark, "stream")
+    stream = _event_stream(spark, sf_dir)
+    running = streaming.stream_ingest(stream, f"{folder}/checkpoint", f"{folder}/rows", every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
 @query
 def stream_messages(spark, sf_dir):
     folder = workspace.scratch_path(spark, "stream")

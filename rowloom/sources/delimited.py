@@ -42,10 +42,9 @@ def schema_from_metadata(fields: Sequence[Mapping]) -> T.StructType:
     return schema
 
 
-def load_schema(path: str) -> T.StructType:
-    """Schema from a local JSON file: a list of field metadata, or Spark's own JSON form."""
-    with open(path, encoding="utf-8") as handle:
-        content = json.load(handle)
+def load_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema from a JSON file in any store that Spark reads: a list of field metadata, or Spark's own form."""
+    content = json.loads(spark.read.text(path, wholetext=True).first()[0])
     return schema_from_metadata(content) if isinstance(content, list) else T.StructType.fromJson(content)
 
 

@@ -3,26 +3,32 @@
 A table is a folder with
 
 * ``data/load_id=<n>/slot=<partition>/``: the rows of each load, never changed afterwards;
-* ``log/load_id=<n>/``: one row per partition of the load, written after the data.
+* ``log/load_id=<n>/``: one row per partition of the load, written after the data, with the table's
+  schema as of that load. A load without rows writes one row without a partition, so it keeps its number.
 
 A partition's state at load T is its last ``replace`` up to T and the appends after it.
 A load is visible once its log is written; a load that failed before is overwritten by the
 next one with its number. Loads of one table must not run at the same time.
+
+The first load declares the columns. Later loads may add columns, which are null in older rows, and
+may lack some; a column of another type is refused before anything is written.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.functions.parsing import timestamp_literal
-from rowloom.operators.joins import fits_broadcast, keep_matching
 
-LOG_SCHEMA = "slot string, mode string, n_rows long, load_ts timestamp_ntz, load_id long"
+LOG_SCHEMA = "slot string, mode string, n_rows long, load_ts timestamp_ntz, columns string, load_id long"
+KEYS = T.StructType().add("load_id", T.LongType()).add("slot", T.StringType())
 
 
 def slot_of(value: Column) -> Column:
@@ -30,6 +36,11 @@ def slot_of(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("null"))
 
 
+def value_of(slot: Column, kind: T.DataType) -> Column:
+    """The partition value that a folder name stands for."""
+    return F.when(slot != "null", F.substr(slot, F.lit(2))).cast(kind)
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     """Whether the table has at least one finished load."""
     return not read_log(spark, table).isEmpty()
@@ -54,21 +65,60 @@ def log_until(log: DataFrame, load_id: int | None = None, load_ts: datetime | No
     return log
 
 
+def last_load(log: DataFrame) -> tuple[int, T.StructType | None]:
+    """Number and schema of the newest load in ``log``: 0 and none if there is no load."""
+    newest = log.agg(F.max("load_id"), F.max_by("columns", "load_id")).first()
+    return newest[0] or 0, T.StructType.fromJson(json.loads(newest[1])) if newest[1] else None
+
+
+def agreed_schema(known: T.StructType | None, new: T.StructType) -> T.StructType:
+    """The columns of both, those known first; a column whose type differs is an error."""
+    plain = [T.StructField(f.name, f.dataType) for f in new]
+    if known is None:
+        return T.StructType(plain)
+    types = {f.name: f.dataType for f in known}
+    changed = [f"{f.name}: {types[f.name].simpleString()} to {f.dataType.simpleString()}"
+               for f in plain if f.name in types and f.dataType != types[f.name]]
+    if changed:
+        raise ValueError(f"a load must not change types ({'; '.join(changed)})")
+    return T.StructType([*known.fields, *(f for f in plain if f.name not in types)])
+
+
 def visible_loads(log: DataFrame) -> DataFrame:
     """The log entries that make up the state: per partition the last replace and what follows it."""
     per_slot = Window.partitionBy("slot")
     last_replace = F.max(F.when(F.col("mode") == "replace", F.col("load_id"))).over(per_slot)
     return (
-        log.withColumn("base", last_replace)
+        log.where(F.col("slot").isNotNull())
+        .withColumn("base", last_replace)
         .where(F.col("base").isNull() | (F.col("load_id") >= F.col("base")))
         .drop("base")
     )
 
 
-def visible_rows(data: DataFrame, log: DataFrame) -> DataFrame:
-    """Rows of the visible loads. Partition folders that are not visible are pruned from the scan."""
+def visible_rows(spark: SparkSession, table: str, log: DataFrame, slots: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the visible loads with ``load_id`` and ``slot``. Only visible folders are read.
+
+    The visible (load, partition) pairs are broadcast whatever the size of the log: there are no more of
+    them than folders, all of which Spark lists on the driver for any read of the table.
+    """
+    _, schema = last_load(log)
+    if schema is None:
+        raise ValueError(f"{table}: no load up to then")
+    data = spark.read.schema(T.StructType([*schema.fields, *KEYS.fields])).parquet(f"{table}/data")
+    if slots is not None:
+        data, log = data.where(F.col("slot").isin(*slots)), log.where(F.col("slot").isin(*slots))
     loads = visible_loads(log).where(F.col("n_rows") > 0).select("load_id", "slot")
-    return data.join(loads, ["load_id", "slot"], "left_semi")
+    return data.join(F.broadcast(loads), ["load_id", "slot"], "left_semi")
+
+
+def slots_where(log: DataFrame, partition_by: str, condition: Column) -> list[str]:
+    """The visible partitions whose value meets a condition on the partition column. Reads the log only."""
+    _, schema = last_load(log)
+    kind = schema[partition_by].dataType if schema else T.StringType()
+    slots = visible_loads(log).where(F.col("n_rows") > 0).select("slot").distinct()
+    met = slots.withColumn(partition_by, value_of(F.col("slot"), kind)).where(condition)
+    return [r["slot"] for r in met.select("slot").collect()]  # at most one per partition
 
 
 def read_as_of(
@@ -77,14 +127,21 @@ def read_as_of(
     load_id: int | None = None,
     load_ts: datetime | None = None,
     partitions: Sequence | None = None,
+    partition_by: str | None = None,
+    partitions_where: Column | None = None,
 ) -> DataFrame:
-    """The table now, after a load, or at a point in time; optionally only some partitions of it."""
+    """The table now, after a load, or at a point in time, with the columns that it had then.
+
+    ``partitions`` or a condition on the partition column, ``partitions_where``, reads only these
+    partitions' folders.
+    """
     log = log_until(read_log(spark, table), load_id, load_ts)
-    data = spark.read.parquet(f"{table}/data")
+    slots = None
     if partitions is not None:
-        slots = [slot_of(F.lit(p)) for p in partitions]
-        data, log = data.where(F.col("slot").isin(slots)), log.where(F.col("slot").isin(slots))
-    return visible_rows(data, log).drop("load_id", "slot")
+        slots = ["null" if p is None else spark.range(1).select(slot_of(F.lit(p))).first()[0] for p in partitions]
+    elif partitions_where is not None:
+        slots = slots_where(log, partition_by, partitions_where)
+    return visible_rows(spark, table, log, slots).drop("load_id", "slot")
 
 
 def list_partitions(spark: SparkSession, table: str, load_id: int | None = None) -> DataFrame:
@@ -106,7 +163,7 @@ def list_snapshots(spark: SparkSession, table: str) -> DataFrame:
         .groupBy("load_id", "load_ts")
         .agg(
             F.when(replaced, "replace").otherwise("append").alias("operation"),
-            F.count(F.lit(1)).alias("n_partitions"),
+            F.count("slot").alias("n_partitions"),
             F.sum("n_rows").alias("n_rows"),
         )
     )
@@ -133,16 +190,21 @@ def load_partition(
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     spark = df.sparkSession
     log = read_log(spark, table)
-    load_id = (log.agg(F.max("load_id")).first()[0] or 0) + 1
+    newest, known = last_load(log)
+    load_id, schema = newest + 1, agreed_schema(known, df.schema)
 
     target = f"{table}/data/load_id={load_id}"
-    rows = df.withColumn("slot", slot_of(F.col(partition_by)))
+    have = set(df.columns)
+    rows = df.select(
+        *(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema),
+        slot_of(F.col(partition_by)).alias("slot"),
+    )
     (rows.hint("rebalance", "slot") if spread else rows).write.mode("overwrite").partitionBy("slot").parquet(target)
-    _write_log(spark, log, table, target, load_id, load_ts, mode, emptied)
+    _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schema)
     return load_id
 
 
-def _write_log(spark, log, table, target, load_id, load_ts, mode, emptied) -> None:
+def _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schema) -> None:
     # counted from the files that were written; only the folder names are read
     written = spark.read.schema("slot string").parquet(target).groupBy("slot").agg(F.count(F.lit(1)).alias("n_rows"))
     if emptied:
@@ -158,9 +220,12 @@ def _write_log(spark, log, table, target, load_id, load_ts, mode, emptied) -> No
         entry = F.when(F.col("known").isNull() & (F.col("n_rows") > 0), "append").otherwise("replace")
     else:
         entry = F.lit("append")
-    written.select("slot", entry.alias("mode"), "n_rows", timestamp_literal(load_ts).alias("load_ts")).write.mode(
-        "overwrite"
-    ).parquet(f"{table}/log/load_id={load_id}")
+    entries = written.select("slot", entry.alias("mode"), "n_rows")
+    if entries.isEmpty():  # the load keeps its number
+        entries = spark.range(1).selectExpr("cast(null as string) slot", "'append' mode", "0L n_rows")
+    entries.select(
+        "*", timestamp_literal(load_ts).alias("load_ts"), F.lit(schema.json()).alias("columns")
+    ).write.mode("overwrite").parquet(f"{table}/log/load_id={load_id}")
 
 
 def restore_partition(
@@ -178,18 +243,24 @@ def update_rows(
     condition: Column,
     assignments: Mapping[str, Column],
     load_ts: datetime,
+    partitions_where: Column | None = None,
 ) -> int:
-    """Change the rows that meet a condition, by replacing the partitions that hold such rows."""
+    """Change the rows that meet a condition, by replacing the partitions that hold such rows.
+
+    One pass over the columns of the condition finds these partitions, one pass over their folders
+    rewrites them. ``partitions_where``, a condition on the partition column, keeps both passes to the
+    partitions that meet it.
+    """
     if partition_by in assignments:
         raise ValueError("the partition column cannot be updated")
     log = read_log(spark, table)
-    current = visible_rows(spark.read.parquet(f"{table}/data"), log).drop("load_id")
     hit = F.coalesce(condition, F.lit(False))
-    touched = current.where(hit).select("slot").distinct()
-    if fits_broadcast(log):  # the log holds every partition that can be touched
-        rows = current.join(F.broadcast(touched), "slot", "left_semi")
-    else:
-        rows = keep_matching(current, touched, ["slot"])
+    if partitions_where is not None:
+        hit = hit & F.coalesce(partitions_where, F.lit(False))
+    candidates = None if partitions_where is None else slots_where(log, partition_by, partitions_where)
+    touched = visible_rows(spark, table, log, candidates).where(hit).select("slot").distinct()
+    slots = [r["slot"] for r in touched.collect()]  # at most one per partition
+    current = visible_rows(spark, table, log, slots).drop("load_id", "slot")
 
     def value(name: str) -> Column:
         if name not in assignments:
@@ -198,5 +269,4 @@ def update_rows(
         return F.when(hit, new).otherwise(F.col(name)).alias(name)
 
     # one projection: every right-hand side sees the row as it was
-    updated = rows.drop("slot").select(*(value(c) for c in current.columns if c != "slot"))
-    return load_partition(updated, table, partition_by, load_ts)
+    return load_partition(current.select(*(value(c) for c in current.columns)), table, partition_by, load_ts)

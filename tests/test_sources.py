@@ -1,5 +1,6 @@
 """Delimited files, tables, the load log, streams."""
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -30,12 +31,12 @@ def test_schema_from_metadata():
         delimited.schema_from_metadata([{"fieldPosition": 1, "fieldName": "a", "fieldDataType": "Blob"}])
 
 
-def test_load_schema(tmp_path):
+def test_load_schema(spark, tmp_path):
     spark_form = T.StructType().add("ID", "integer").add("CustName", "string").add("dob", "date")
     (tmp_path / "s.json").write_text(spark_form.json())
-    assert delimited.load_schema(str(tmp_path / "s.json")) == spark_form
+    assert delimited.load_schema(spark, str(tmp_path / "s.json")) == spark_form
     (tmp_path / "m.json").write_text('[{"fieldPosition": 1, "fieldName": "a", "fieldDataType": "Long"}]')
-    assert delimited.load_schema(str(tmp_path / "m.json")).simpleString() == "struct<a:bigint>"
+    assert delimited.load_schema(spark, str(tmp_path / "m.json")).simpleString() == "struct<a:bigint>"
 
 
 def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
@@ -157,11 +158,11 @@ TIMES = [datetime(2025, 6, day) for day in range(1, 10)]
 @pytest.fixture
 def orders(spark):
     rows = [
-        (100, "IPHONE", date(2023, 1, 15)),
-        (200, "IMAC", date(2023, 1, 16)),
-        (300, "Printers", date(2023, 1, 17)),
-        (400, "Printers", date(2025, 1, 17)),
-        (500, "IPAD", date(2025, 3, 17)),
+        (31, "rope", date(2021, 9, 4)),
+        (32, "anchor", date(2021, 9, 4)),
+        (33, "lamp", None),
+        (34, "rope", date(2022, 2, 28)),
+        (35, None, date(2022, 3, 1)),
     ]
     df = frame(spark, "order_id int, Order_name string, Order_date date", *rows)
     return df.withColumn("partition_date", F.lit(date(2025, 6, 3)))
@@ -195,7 +196,7 @@ def test_a_load_touches_its_own_partitions(spark, orders, tmp_path):
 def test_restore(spark, orders, tmp_path):
     table, day = f"{tmp_path}/orders", date(2025, 6, 3)
     lake.load_partition(orders, table, "partition_date", TIMES[0])
-    lake.load_partition(orders.where("order_id = 100"), table, "partition_date", TIMES[1])
+    lake.load_partition(orders.where("order_id = 31"), table, "partition_date", TIMES[1])
     lake.restore_partition(spark, table, "partition_date", day, 1, TIMES[2])
     assert rows_of(lake.read_as_of(spark, table)) == rows_of(orders)
     # a partition that did not exist then is emptied
@@ -211,11 +212,11 @@ def test_update(spark, orders, tmp_path):
     table = f"{tmp_path}/orders"
     lake.load_partition(orders, table, "partition_date", TIMES[0])
     lake.load_partition(orders.withColumn("partition_date", F.lit(date(2025, 6, 4))), table, "partition_date", TIMES[1])
-    condition = (F.col("order_id") == 200) & (F.col("partition_date") == date(2025, 6, 3))
-    load_id = lake.update_rows(spark, table, "partition_date", condition, {"Order_name": F.lit("I-MAC")}, TIMES[2])
+    condition = (F.col("order_id") == 32) & (F.col("partition_date") == date(2025, 6, 3))
+    load_id = lake.update_rows(spark, table, "partition_date", condition, {"Order_name": F.lit("chain")}, TIMES[2])
     state = lake.read_as_of(spark, table)
     assert state.count() == 10
-    same(state.where("Order_name = 'I-MAC'"), [(200, date(2025, 6, 3))], "order_id", "partition_date")
+    same(state.where("Order_name = 'chain'"), [(32, date(2025, 6, 3))], "order_id", "partition_date")
     same(lake.list_snapshots(spark, table).where(F.col("load_id") == load_id), [(1, 5)], "n_partitions", "n_rows")
     with pytest.raises(ValueError, match="partition column"):
         lake.update_rows(spark, table, "partition_date", condition, {"partition_date": F.lit(None)}, TIMES[3])
@@ -253,15 +254,75 @@ def test_daily_partitions(spark, tmp_path):
     assert lake.list_partitions(spark, f"{tmp_path}/t").count() == 3
 
 
-def test_reading_prunes_replaced_loads(spark, orders, tmp_path):
-    table = f"{tmp_path}/orders"
+@pytest.mark.parametrize("threshold", ["-1", "1000"])
+def test_reading_prunes_folders_and_shuffles_nothing(spark, orders, tmp_path, threshold):
+    table, key = f"{tmp_path}/orders", "spark.sql.autoBroadcastJoinThreshold"
     for t in TIMES[:3]:
         lake.load_partition(orders, table, "partition_date", t)
-    state = lake.read_as_of(spark, table)
-    assert "dynamicpruning" in plan_of(state)
-    scans = "PartitionFilters: ["
-    state.collect()
-    assert scans in plan_of(state)
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        state = lake.read_as_of(spark, table)
+        day = lake.read_as_of(
+            spark, table, partition_by="partition_date", partitions_where=F.col("partition_date") == date(2025, 6, 3)
+        )
+        for rows in (state, day):
+            plan = plan_of(rows)
+            above_the_scan = plan[: plan.index("FileScan")]
+            assert "Exchange hashpartitioning" not in above_the_scan and "SortMergeJoin" not in plan
+            assert "dynamicpruning" in plan
+            assert rows.count() == 5
+        assert "slot" in plan_of(day).split("PartitionFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_columns_may_be_added_but_not_change_type(spark, orders, tmp_path):
+    table = f"{tmp_path}/orders"
+    assert lake.load_partition(orders.limit(0), table, "partition_date", TIMES[0]) == 1
+    assert lake.read_as_of(spark, table).count() == 0
+    assert lake.load_partition(orders, table, "partition_date", TIMES[1]) == 2
+    with pytest.raises(ValueError, match="order_id: int to string"):
+        lake.load_partition(orders.withColumn("order_id", F.lit("x")), table, "partition_date", TIMES[2])
+    more = orders.limit(1).withColumn("colour", F.lit("red"))
+    assert lake.load_partition(more, table, "partition_date", TIMES[2], mode="append") == 3
+    assert lake.load_partition(more.limit(0), table, "partition_date", TIMES[3]) == 4
+    assert lake.load_partition(more.drop("Order_name"), table, "partition_date", TIMES[4], mode="append") == 5
+    now = lake.read_as_of(spark, table)
+    assert now.where("colour = 'red'").count() == 2 and now.count() == 7
+    assert lake.read_as_of(spark, table, load_id=2).columns == orders.columns
+    assert [lake.read_as_of(spark, table, load_id=i).count() for i in range(1, 6)] == [0, 5, 6, 6, 7]
+
+
+def test_update_of_chosen_partitions(spark, orders, tmp_path):
+    table = f"{tmp_path}/orders"
+    for day in (3, 4, 5):
+        rows = orders.withColumn("partition_date", F.lit(date(2025, 6, day)))
+        lake.load_partition(rows, table, "partition_date", TIMES[day])
+    late = F.col("partition_date") > date(2025, 6, 3)
+    load_id = lake.update_rows(
+        spark, table, "partition_date", F.col("order_id") == 32, {"Order_name": F.lit("chain")}, TIMES[6], late
+    )
+    same(lake.list_snapshots(spark, table).where(F.col("load_id") == load_id), [(2, 10)], "n_partitions", "n_rows")
+    assert lake.read_as_of(spark, table).where("Order_name = 'chain'").count() == 2
+
+
+def test_scratch_goes_with_the_application(spark):
+    rows = workspace.materialize(spark.range(5).toDF("n"))
+    root = workspace.scratch_root(spark)
+    assert rows.count() == 5 and os.path.isdir(root.removeprefix("file:"))
+    workspace.clear_scratch(spark)
+    assert not os.path.exists(root.removeprefix("file:"))
+
+
+def test_jobs_leave_no_stage_folder(spark, tmp_path):
+    schema = T.StructType().add("ID", "integer").add("v", "string")
+    (tmp_path / "day0.csv").write_text("1,a\n2,b\n2,c\n")
+    root = workspace.scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    jobs.cdc_full_load(spark, f"{tmp_path}/day0.csv", f"{tmp_path}/m0", schema, datetime(2022, 9, 17))
+    jobs.cdc_delta_load(spark, f"{tmp_path}/day0.csv", f"{tmp_path}/m0", f"{tmp_path}/m1", schema, ["ID"], datetime(2022, 9, 18))
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
 
 
 # ---- streams
