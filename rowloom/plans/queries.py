@@ -446,7 +446,7 @@ def enrich_day(spark, sf_dir):
     return rows.groupBy("Product_ID", "Product_Name", "outcome").agg(
         F.count(F.lit(1)).alias("n_sales"),
         F.sum("Quantity_Sold").alias("quantity"),
-        F.format_number(F.sum(F.col("Sale_Amount").cast("decimal(18,2)")), "0.00").alias("amount"),
+        F.sum(F.col("Sale_Amount").cast("decimal(18,2)")).cast("string").alias("amount"),
     )
 
 
