@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import no_spans, spans_of, whole_text
-from rowloom.workspace import materialize
 
 RULE_VERSION = "1"
 LEDGER = "blob string, rule_version string, spans array<struct<kind:string,start:int,end:int,found:string>>"
@@ -74,14 +73,15 @@ def scan_versions(
     The first table has every row of ``versions`` as (path, blob, spans); the second has (blob,
     rule_version, spans) of the blobs scanned now, to be appended to ``ledger``. Null texts are empty
     blobs, repeated rows are rows of one blob, a null path is kept. The smallest path of a blob brings
-    its text to the scan, so a text travels once however many paths share it.
+    its text to the scan, so a text travels once however many paths share it. Both tables are lazy: a
+    caller who uses both writes the ledger's rows first and hands them back as ``ledger``.
     """
     addressed = versions.select(
         F.col(path_column).alias("path"),
         F.sha2(whole_text(text_column), 256).alias("blob"),
         whole_text(text_column).alias("text"),
     )
-    paths = materialize(addressed.select("path", "blob"))
+    paths = addressed.select("path", "blob")
     blobs = paths.groupBy("blob").agg(F.min("path").alias("from"))
     if ledger is not None:
         done = ledger.where(F.col("rule_version") == rule_version).select("blob").distinct()
@@ -90,7 +90,7 @@ def scan_versions(
         blobs.select(F.col("blob").alias("new"), "from").hint("shuffle_hash"),
         (F.col("blob") == F.col("new")) & F.col("path").eqNullSafe(F.col("from")),
     )
-    scanned = materialize(
+    scanned = (
         sent.select("blob", secret_spans(F.col("text")).alias("spans"))
         .dropDuplicates(["blob"])
         .select("blob", F.lit(rule_version).alias("rule_version"), "spans")
