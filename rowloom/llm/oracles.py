@@ -120,6 +120,64 @@ SELECT doc_id, n_assign, n_access, n_hex,
 FROM listed
 """
 
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
+CARD = r"[0-9](?:[\x20-]?[0-9])+"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+TERM = r"[A-Za-z\x{80}-\x{10FFFF}][0-9A-Za-z\x{80}-\x{10FFFF}_''-]*"
+DIGITS = "regexp_replace(found, '[^0-9]', '', 'g')"
+LUHN = f"""list_sum(list_transform(range(1, length({DIGITS}) + 1), lambda k:
+  CASE WHEN (length({DIGITS}) - k) % 2 = 1 THEN (2 * substr({DIGITS}, k, 1)::INTEGER) % 10 + (2 * substr({DIGITS}, k, 1)::INTEGER) // 10
+       ELSE substr({DIGITS}, k, 1)::INTEGER END)) % 10 = 0"""
+SMALL = """len(list_filter(string_split(found, '.'), lambda part:
+  length(ltrim(part, '0')) > 3 OR (ltrim(part, '0') <> '' AND left(ltrim(part, '0'), 3)::INTEGER > 255))) = 0"""
+PERSONAL_COLUMNS = ",\n    ".join(
+    f"{spans('t', pattern, kind, check)} AS s_{kind}"
+    for kind, pattern, check in [
+        ("email", EMAIL, "true"),
+        ("ip", IP, SMALL),
+        ("card", CARD, f"CASE WHEN length({DIGITS}) BETWEEN 13 AND 19 THEN {LUHN} ELSE false END"),
+        ("phone", PHONE, f"length({DIGITS}) BETWEEN 9 AND 15"),
+    ]
+)
+OVERLAPPED = "list_contains(lost, lower(found)) AND len(list_filter(base, lambda b: b.start < s.stop AND s.start < b.stop)) = 0"
+
+
+def terms(text: str) -> str:
+    return f"list_distinct(list_transform(regexp_extract_all({text}, '{TERM}'), lambda x: lower(x)))"
+
+
+BLANKED = "list_reduce(list_prepend(t, any_value(list_transform(base, lambda s: s.found))), lambda a, f: replace(a, f, ' '))"
+PERSONAL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (SELECT r, doc_id, t, {PERSONAL_COLUMNS} FROM d),
+marked AS (SELECT *, flatten([s_email, s_ip, s_card, s_phone]) AS base FROM found),
+held AS (
+  SELECT t, count(*) AS copies, list_distinct(any_value(list_transform(base, lambda s: s.kind || ':' || s.found))) AS entities,
+         list_filter({terms(BLANKED)},
+                     lambda w: length(w) >= 4) AS terms
+  FROM marked WHERE len(base) > 0 GROUP BY t),
+entities AS (SELECT t, copies, terms, unnest(entities) AS entity FROM held),
+pairs AS (
+  SELECT entity, term, sum(copies) AS n_both FROM (SELECT copies, entity, unnest(terms) AS term FROM entities)
+  GROUP BY entity, term HAVING count(*) >= 3),
+n_entity AS (SELECT entity, sum(copies) AS n_e FROM entities GROUP BY entity),
+n_term AS (SELECT term, count(*) AS n_t FROM (SELECT unnest({terms("t")}) AS term FROM d) GROUP BY term),
+shown AS (
+  SELECT entity, term FROM pairs JOIN n_entity USING (entity) JOIN n_term USING (term), (SELECT count(*) AS total FROM d)
+  WHERE n_e < total AND log2(n_both * total::DOUBLE / (n_e * n_t)) / log2(total::DOUBLE / n_e) >= 0.9),
+lost AS (
+  SELECT t, list(DISTINCT term) AS lost FROM (
+    SELECT e.t, s.term FROM entities e JOIN shown s ON e.entity = s.entity WHERE list_contains(e.terms, s.term)) GROUP BY t),
+termed AS (
+  SELECT m.*, CASE WHEN lost IS NULL THEN [] ELSE {spans('t', TERM, 'term', OVERLAPPED)} END AS s_term
+  FROM marked m LEFT JOIN lost USING (t))
+SELECT doc_id, len(s_email)::BIGINT AS n_email, len(s_ip)::BIGINT AS n_ip, len(s_card)::BIGINT AS n_card,
+       len(s_phone)::BIGINT AS n_phone, sha256(coalesce({JOINED.format("base")}, '')) AS base_sha256,
+       coalesce({JOINED.format("list_concat(base, s_term)")}, '') AS spans
+FROM termed
+"""
+
 MASK_ROWS = ", ".join(f"('{m}', {[i for i, bit in enumerate(m) if bit == '1']})" for m in MASKS)
 
 DECONTAMINATION = f"""
@@ -266,6 +324,7 @@ FROM judged j LEFT JOIN failed f ON j.r = f.r
 LLM_ORACLES: dict[str, str] = {
     "op1_license_scan": LICENSES,
     "op5_secret_scan": SECRETS,
+    "op6_personal_data": PERSONAL,
     "op7_quality": QUALITY,
     "op8_decontamination": DECONTAMINATION,
     "op9_warc": WARC,
