@@ -14,17 +14,25 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-#: Pieces whose encodings a worker keeps; the oldest half goes when it is full. No result depends on it.
-KEPT_PIECES = 300_000
+from rowloom.llm.common import whole_text
+
+#: Pieces and seams that a worker keeps in mind; beyond that some are worked out again. No result depends on it.
+KEPT_PIECES, KEPT_SEAMS = 200_000, 200_000
+#: Bytes of text that a task looks at together.
+PORTION = 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -183,12 +191,14 @@ class Codec:
             return word
         return "".join([self.letters[b] for b in word.encode()])
 
-    def encode_batch(self, texts: pd.Series) -> list[np.ndarray]:
+    def encode_batch(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text. Texts are cut at white space first; each distinct piece is looked up once."""
         pieces = [self.pieces(t) for t in texts]
         if len(self.known) > KEPT_PIECES:
             for old in list(self.known)[: KEPT_PIECES // 2]:
                 del self.known[old]
+        if len(self.valid) > KEPT_SEAMS:
+            self.valid.clear()
         self.known |= {f" {name}": (i,) for name, i in self.special.items()}
         words = {p: self.word.findall(p) for p in set().union(*pieces).difference(self.known)}
         encoded = self.encode_words(set(chain.from_iterable(words.values())))
@@ -199,7 +209,7 @@ class Codec:
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens' names, one blank between them: what the file's missing decoder step means."""
-        return " ".join([self.names[i] for i in ids])
+        return " ".join(map(self.names.__getitem__, np.asarray(ids).tolist()))
 
 
 @lru_cache(maxsize=2)
@@ -208,22 +218,50 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(text: Column, path: str) -> Column:
-    """``array<int>`` of token ids. An empty text has none; null must be made empty before."""
-
-    @pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series(codec(path).encode_batch(texts), index=texts.index, dtype=object)
-
-    return ids(text)
-
-
-def decode(ids: Column, path: str) -> Column:
-    """The text of token ids."""
+def portions(texts: pa.ChunkedArray | pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of runs of rows with about ``PORTION`` bytes of text; at least one row each."""
+    start, size = 0, 0
+    for at, length in enumerate(pc.binary_length(texts).to_pylist()):
+        if size and size + (length or 0) > PORTION:
+            yield start, at - start
+            start, size = at, 0
+        size += length or 0
+    if start < len(texts):
+        yield start, len(texts) - start
+
+
+def encode_texts(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded) for every row of ``docs``: token ids, and the text that the ids decode to.
+
+    Null and empty texts have no ids and decode to the empty text; null ids and repeated rows stay as they
+    are. Texts pass in portions of about ``PORTION`` bytes (a longer one alone), which with the bounded
+    tables of known pieces and seams bounds the memory of a task.
+    """
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for batch in batches:
+            texts = batch.column(1)
+            for start, rows in portions(texts):
+                ids = own.encode_batch(texts.slice(start, rows).to_pylist())
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                decoded = pa.array([own.decode(i) for i in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, rows), listed, decoded], ["doc_id", "ids", "decoded"]
+                )
+
+    return docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text")).mapInArrow(
+        code, f"doc_id {kind}, ids array<int>, decoded string"
+    )
+
+
+def decode_ids(ids: Column, path: str) -> Column:
+    """The text that a column of token ids decodes to."""
 
     @pandas_udf("string")
     def text(batches: pd.Series) -> pd.Series:
-        names = np.array(codec(path).names, dtype=object)
-        return pd.Series([" ".join(names[i]) for i in batches], index=batches.index, dtype=object)
+        return pd.Series([codec(path).decode(i) for i in batches], index=batches.index, dtype=object)
 
     return text(ids)

@@ -45,8 +45,7 @@ def licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """Token counts and digests of ids and decoded text, per document."""
-    coded = docs.select("doc_id", bpe.encode(whole_text("text"), path).alias("ids"))
-    return coded.select("doc_id", "ids", bpe.decode(F.col("ids"), path).alias("decoded")).select(
+    return bpe.encode_texts(docs, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -70,10 +70,10 @@ def in_chunks(rows: Iterable[tuple], names: list[str], measure: int) -> Iterator
         held.append(row)
         size += len(row[measure] or b"") + 200
         if size >= CHUNK_BYTES:
-            yield pd.DataFrame(held, columns=names)
+            yield pd.DataFrame(held, columns=names, dtype=object)
             held, size = [], 0
     if held:
-        yield pd.DataFrame(held, columns=names)
+        yield pd.DataFrame(held, columns=names, dtype=object)
 
 
 def names_of(schema: str) -> list[str]:

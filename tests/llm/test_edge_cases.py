@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,7 +86,7 @@ def test_bpe_of_random_words():
     names = [n.replace("</w>", "") for n in codec.vocabulary]
     texts = [" ".join("".join(rng.sample(names, rng.randint(1, 4))) for _ in range(8)) for _ in range(300)]
     texts += ["".join(chr(rng.choice([rng.randint(1, 0x500), rng.randint(0x3000, 0x9FFF)])) for _ in range(40)) for _ in range(100)]
-    for ids, expected in zip(codec.encode_batch(pd.Series(texts)), tokenizer.encode_batch(texts, add_special_tokens=False)):
+    for ids, expected in zip(codec.encode_batch(texts), tokenizer.encode_batch(texts, add_special_tokens=False)):
         assert ids.tolist() == expected.ids
 
 
@@ -258,12 +257,13 @@ def test_quality_measures():
 def test_cutoffs_keep_their_promise(spark):
     """A cutoff that rejects too many good documents, or has too few to prove it, is not used."""
     rows = [("en", True, 0.0)] * 4000 + [("en", False, 0.6)] * 50 + [("de", True, 0.0)] * 20 + [("de", False, 0.6)] * 50
+    rows += [("it", True, 0.0)] * 4000 + [("it", True, 0.6)] * 40 + [("it", False, 0.6)] * 30 + [("it", False, 1.2)] * 20
     rows += [("fr", True, 0.6)] * 400 + [("fr", True, 0.0)] * 4000 + [("fr", False, 0.6)] * 50
     known = frame(spark, "stratum string, good boolean, share double", *rows).selectExpr(
         "stratum", "good", "false as base_failed", "100L as n_words", "500L as word_chars",
         "cast(100 * share as long) as n_symbols", "0L as n_dup_lines", "0L as n_repeat_words",
     )
-    same(quality.cutoffs(known, risk=0.01, confidence=0.95), [("en", "symbols", 0.5)])
+    same(quality.cutoffs(known, risk=0.05, confidence=0.95), [("en", "symbols", 0.5), ("it", "symbols", 1.0)])
 
 
 def test_binomial_tail():
