@@ -303,15 +303,18 @@ counts AS (
          count(*) FILTER (WHERE quality = 1 AND value > cutoff) AS good_rejected,
          count(*) FILTER (WHERE quality <> 1 AND value > cutoff) AS bad_rejected
   FROM valued JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IS NOT NULL GROUP BY ALL),
-limits AS (SELECT 0.01::DOUBLE / {len(QUALITY_RULES)} AS risk, (1 - 0.95::DOUBLE) / count(*) AS level FROM counts),
+limits AS (SELECT 0.05::DOUBLE / {len(QUALITY_RULES)} AS risk, (1 - 0.95::DOUBLE) / count(DISTINCT (stratum, rule)) AS level FROM counts),
 tested AS (
   SELECT c.*, level, CASE WHEN good_rejected >= good THEN 1.0 ELSE (
       SELECT list_sum(list_transform(range(0, good_rejected + 1), lambda k: exp(
         lgamma(good + 1) - lgamma(k + 1) - lgamma(good - k + 1) + k * ln(risk) + (good - k) * ln(1 - risk))))) END AS p
   FROM counts c, limits),
+passed AS (
+  SELECT *, max(p) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) AS worst, bad_rejected - good_rejected AS gain
+  FROM tested),
 chosen AS (
-  SELECT stratum, rule, cutoff FROM tested WHERE p <= level AND bad_rejected > 0
-  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad_rejected DESC, good_rejected, cutoff DESC) = 1),
+  SELECT stratum, rule, cutoff FROM passed WHERE worst <= level AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1),
 failed AS (
   SELECT r, string_agg(rule, ',' ORDER BY rule) AS rules
   FROM valued JOIN chosen USING (stratum, rule, cutoff) WHERE value > cutoff GROUP BY r)

@@ -2,9 +2,10 @@
 
 Every rule is a measure of a text that is high for bad texts. Cutoffs come from labelled documents: a
 cutoff may be used in a stratum only if an exact binomial test shows that it rejects at most ``risk``
-of the good documents there. All cutoffs of all rules and strata are tested, so the level is divided by
-their number (Bonferroni), and the risk by the number of rules, so that a stratum's rules together
-stay within it. A rule without a proven cutoff does not apply in that stratum.
+of the good documents there. The cutoffs of a rule are tested from the most lenient on, up to the first
+that fails (a fixed sequence needs no correction); the level is divided by the number of such sequences,
+all rules in all strata (Bonferroni), and the risk by the number of rules, so that a stratum's rules
+together stay within it. A rule without a proven cutoff does not apply in that stratum.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -83,18 +84,18 @@ def tail(rejected: int, good: int, risk: float) -> float:
     return min(1.0, math.fsum(math.exp(t) for t in terms))
 
 
-def proven(counts: Iterator[pd.DataFrame], risk: float, level: float) -> Iterator[pd.DataFrame]:
-    """Adds the p-value of "rejects more than ``risk`` of the good" to counts of (good, rejected)."""
+def tested(counts: Iterator[pd.DataFrame], risk: float) -> Iterator[pd.DataFrame]:
+    """Adds the p-value of "rejects more than ``risk`` of the good" to counts of (good, good_rejected)."""
     for frame in counts:
         p = [tail(int(k), int(n), risk) if n else 1.0 for k, n in zip(frame["good_rejected"], frame["good"])]
-        yield frame.assign(p=p)[[x <= level for x in p]]
+        yield frame.assign(p=p)
 
 
 def cutoffs(labelled: DataFrame, *, risk: float, confidence: float) -> DataFrame:
     """(stratum, rule, cutoff) from labelled measures with ``good`` (boolean) and ``stratum``.
 
-    Among the proven cutoffs of a rule the one that rejects most bad documents counts, then the one that
-    rejects fewest good ones, then the highest. Rules whose cutoff rejects no bad document are left out.
+    Among the proven cutoffs of a rule the one with most bad documents rejected over good ones counts, then
+    the highest. Rules whose cutoff rejects no more bad documents than good ones are left out.
     """
     grid = F.array(
         *[
@@ -114,12 +115,18 @@ def cutoffs(labelled: DataFrame, *, risk: float, confidence: float) -> DataFrame
         )
     )
     counts = materialize(counts)  # one row per stratum, rule and cutoff
-    tests = counts.count()
-    per_rule, level = risk / len(RULES), (1 - confidence) / max(tests, 1)
+    sequences = counts.select("stratum", "rule").distinct().count()
+    per_rule, level = risk / len(RULES), (1 - confidence) / max(sequences, 1)
     schema = "stratum string, rule string, cutoff double, good long, good_rejected long, bad_rejected long, p double"
-    passed = counts.mapInPandas(lambda frames: proven(frames, per_rule, level), schema)
-    best = F.max_by("cutoff", F.struct("bad_rejected", -F.col("good_rejected"), "cutoff"))
-    return passed.where("bad_rejected > 0").groupBy("stratum", "rule").agg(best.alias("cutoff"))
+    in_turn = Window.partitionBy("stratum", "rule").orderBy(F.desc("cutoff"))
+    passed = (
+        counts.mapInPandas(lambda frames: tested(frames, per_rule), schema)
+        .withColumn("worst", F.max("p").over(in_turn))  # of this cutoff and all more lenient ones
+        .withColumn("gain", F.col("bad_rejected") - F.col("good_rejected"))
+        .where((F.col("worst") <= level) & (F.col("gain") > 0))
+    )
+    best = F.max_by("cutoff", F.struct("gain", "cutoff"))
+    return passed.groupBy("stratum", "rule").agg(best.alias("cutoff"))
 
 
 def apply_rules(
@@ -131,7 +138,7 @@ def apply_rules(
     stratum_column: str = "lang",
     label_id: str = "doc_id",
     label_column: str = "quality",
-    risk: float = 0.01,
+    risk: float = 0.05,
     confidence: float = 0.95,
 ) -> DataFrame:
     """One row per document: id, measures, ``base_failed``, ``failed`` (rules, sorted) and ``kept``.
