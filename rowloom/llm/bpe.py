@@ -30,7 +30,7 @@ from pyspark.sql.functions import pandas_udf
 from rowloom.llm.common import whole_text
 
 #: Pieces and seams that a worker keeps in mind; beyond that some are worked out again. No result depends on it.
-KEPT_PIECES, KEPT_SEAMS = 200_000, 200_000
+KEPT_PIECES, KEPT_SEAMS = 300_000, 300_000
 #: Bytes of text that a task looks at together.
 PORTION = 1_000_000
 
@@ -194,9 +194,9 @@ class Codec:
     def encode_batch(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text. Texts are cut at white space first; each distinct piece is looked up once."""
         pieces = [self.pieces(t) for t in texts]
-        if len(self.known) > KEPT_PIECES:
-            for old in list(self.known)[: KEPT_PIECES // 2]:
-                del self.known[old]
+        if len(self.known) > KEPT_PIECES:  # what is frequent was met early, so the later half goes
+            for late in list(self.known)[KEPT_PIECES // 2 :]:
+                del self.known[late]
         if len(self.valid) > KEPT_SEAMS:
             self.valid.clear()
         self.known |= {f" {name}": (i,) for name, i in self.special.items()}
