@@ -98,8 +98,9 @@ def scan_versions(
     known = scanned if ledger is None else scanned.unionByName(
         ledger.where(F.col("rule_version") == rule_version).select("blob", "rule_version", "spans")
     )
-    hits = known.where(F.size("spans") > 0).dropDuplicates(["blob"]).select(F.col("blob").alias("hit"), "spans")
-    findings = paths.join(hits, F.col("blob") == F.col("hit"), "left").select(
+    # as a struct the address is shuffled anew, so that the partition of a blob with very many paths can be split
+    hits = known.where(F.size("spans") > 0).dropDuplicates(["blob"]).select(F.struct("blob").alias("hit"), "spans")
+    findings = paths.join(hits, F.struct("blob") == F.col("hit"), "left").select(
         "path", "blob", F.coalesce("spans", no_spans()).alias("spans")
     )
     return findings, scanned
