@@ -169,6 +169,7 @@ def find_personal_data(
                 )
             ).alias("how")
         )
+        .select(F.struct("key").alias("of"), "how")  # shuffled anew below, so that a hot text can be split
     )
     inside = lambda s: F.exists(  # noqa: E731  a term span that a base span overlaps
         F.concat(*BASE), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
@@ -183,7 +184,7 @@ def find_personal_data(
             lambda s: F.struct(s["kind"], s["start"], s["end"], F.col("how")[F.lower(s["found"])].alias("found")),
         ),
     ).otherwise(no_spans())
-    treated = with_data.join(lost, "key", "left").withColumn("term", term_spans)
+    treated = with_data.join(lost, F.struct("key") == F.col("of"), "left").withColumn("term", term_spans)
     clean = marked.where(~any_span).withColumn("term", no_spans())
     columns = ["doc_id", "text", *BASE, "term"]
     return treated.select(columns).unionByName(clean.select(columns))
