@@ -288,7 +288,10 @@ def convert_arc(spark: SparkSession, path: str, with_blocks: bool = True) -> Dat
 
 
 def first_responses(fields: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(digest, first): the smallest page id, with its record, of payloads that several responses have."""
+    """(digest, first): the smallest page id, with its record, of payloads that several responses have.
+
+    The digest is a struct, which is shuffled anew for a join, so that Spark can split a hot payload.
+    """
     return (
         fields.where(eligible(min_bytes))
         .groupBy(F.col("payload_digest").alias("digest"))
@@ -297,7 +300,7 @@ def first_responses(fields: DataFrame, min_bytes: int = 0) -> DataFrame:
             F.count("*").alias("copies"),
         )
         .where((F.col("copies") > 1) & F.col("first").isNotNull())
-        .select("digest", "first")
+        .select(F.struct("digest").alias("digest"), "first")
     )
 
 
@@ -314,7 +317,7 @@ def mark_revisits(records: DataFrame, first: DataFrame, min_bytes: int = 0) -> D
     is_copy = eligible(min_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
     head = F.expr("substring(block, 1, length(block) - payload_bytes)")
     return (
-        records.join(first, F.col("payload_digest") == F.col("digest"), "left")
+        records.join(first, F.struct("payload_digest") == F.col("digest"), "left")
         .withColumn("revisit", F.coalesce(is_copy, F.lit(False)))
         .select(
             F.when(F.col("revisit"), "revisit").otherwise(F.col("type")).alias("type"),
