@@ -1,10 +1,14 @@
-"""Benchmark decontamination by spaced seeds.
+"""Benchmark decontamination by spaced seeds that miss nothing.
 
-A mask selects some of 12 consecutive words and ignores the others; the hash of the selected words is a
-seed. Seeds of all benchmark items are joined with the seeds at every word of every document, so a
-passage is hit although words under the ignored positions were replaced. Each hit fixes an alignment of
-document and item; the aligned words around it are compared, and the best stretch (one point for an equal
-word, one off for another) decides. Everything is columns and joins.
+Words of a document and of an item are aligned, one point for an equal word, one off for another. Take a
+stretch with the most points, the shortest of these: each of its openings has points (or it could be cut off), and
+the word before it is unequal or missing (or it could be added). So up to its w-th equal word it is one of a few
+patterns, ``opening_masks(w)``, and of its first n words more than half are equal, as long as it has w and n points.
+
+A mask selects the equal words of such a pattern and ignores the others; the hash of the selected words is a
+seed. Seeds of all benchmark items are joined with the seeds at every word of every document, hits that are no
+such opening are left out, and the best stretch of each alignment that is left decides. Everything is columns
+and joins.
 """
 
 from __future__ import annotations
@@ -15,7 +19,11 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import NOT_WORD, whole_text, words_between
 from rowloom.workspace import materialize
 
-#: Selected positions of 12 words; each mask ignores other ones.
+#: Equal words that a mask selects, of items that need so many points; fewer for items that need fewer.
+WEIGHT = 4
+#: Words of a stretch whose points are counted before the whole alignment is.
+OPENING = 13
+#: The masks that the SQL version seeks by; they miss some stretches, ``opening_masks`` none.
 MASKS = ["110110011011", "101111001101", "111001110011"]
 #: Seed tables of up to this many rows (16 bytes and a hash entry each) are broadcast, larger ones shuffled.
 BROADCAST_SEEDS = 500_000
@@ -31,6 +39,18 @@ def seed(words: Column, at: Column, mask: str) -> Column:
     return F.xxhash64(F.lit(mask), *[F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"])
 
 
+def opening_masks(weight: int) -> list[str]:
+    """The patterns, up to the ``weight``-th equal word, in which equal words always outnumber the others."""
+    found, grown = [], [("1", 1)]  # a pattern and its points
+    while grown:
+        mask, points = grown.pop()
+        if mask.count("1") == weight:
+            found.append(mask)
+        else:
+            grown += [(mask + "1", points + 1)] + ([(mask + "0", points - 1)] if points > 1 else [])
+    return sorted(found)
+
+
 def seeds(table: DataFrame, masks: list[str]) -> DataFrame:
     """Columns of ``table`` (with ``words``), ``at`` and ``seed``: every mask at every place where it fits."""
     shortest = min(map(len, masks))
@@ -81,7 +101,6 @@ def overlaps(
     text_column: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    masks: list[str] | None = None,
     min_score: int = 13,
     min_share: float = 0.8,
     by_text: bool = False,
@@ -89,39 +108,44 @@ def overlaps(
     """(doc_id, item_id, doc_start, item_start, n_words, score): the leaked stretch, once per alignment.
 
     A stretch leaks if its equal words exceed its unequal ones by ``min_score``, or by ``min_share`` of the
-    item's words if that is less. Items with fewer words than a mask spans are also sought whole; items
-    and documents without words match nothing, nor does null text. Null ids are kept. A passage that
+    item's words if that is less; every alignment with such a stretch is found. Items and documents without
+    words match nothing, nor does null text. Null ids are kept. A passage that
     stands in a document several times is listed at each place; repeated rows of documents or items give
     repeated results, merged where all columns are equal. With ``by_text`` the document is named by the
     SHA-256 of its text instead of its id.
     """
-    masks = MASKS if masks is None else masks
-    items = benchmark.select(
-        F.col(item_id).alias("item_id"), words_of(whole_text(item_text)).alias("words")
-    ).where(F.size("words") > 0)
-    span = max(map(len, masks))
-    short = items.where(F.size("words") < span).select(F.size("words").alias("n")).distinct()
-    lengths = sorted(r["n"] for r in short.collect())  # at most one row per length under the span
-    seeded = materialize(
-        seeds(items, masks).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item"))
+    enough = F.least(F.lit(min_score), F.ceil(F.lit(min_share) * F.size("words")).cast("int"))
+    items = (
+        benchmark.select(F.col(item_id).alias("item_id"), words_of(whole_text(item_text)).alias("words"))
+        .where(F.size("words") > 0)
+        .withColumn("enough", F.greatest(enough, F.lit(1)))
+        .withColumn("weight", F.least("enough", F.lit(WEIGHT)))
     )
-    if lengths:
-        whole = seeds(items.where(F.size("words") < span), ["1" * n for n in lengths])
-        seeded = materialize(
-            seeded.union(
-                whole.where("at = 0").select("seed", "item_id", F.col("at").alias("item_at"), "words")
-            ).distinct()
-        )
+    weights = sorted(r["weight"] for r in items.select("weight").distinct().collect())  # at most WEIGHT rows
+    seeded = items.select(F.lit(0).cast("long").alias("seed"), "item_id", F.lit(0).alias("item_at"), "enough", F.col("words").alias("item")).limit(0)
+    for w in weights:
+        own = seeds(items.where(F.col("weight") == w), opening_masks(w))
+        seeded = seeded.union(own.select("seed", "item_id", F.col("at").alias("item_at"), "enough", "words"))
+    seeded = materialize(seeded)
     keys = seeded.select("seed").distinct()
     n_keys = keys.count()
     bounded = n_keys <= BROADCAST_SEEDS
 
     name = F.sha2(whole_text(text_column), 256) if by_text else F.col(id_column)
     texts = docs.select(name.alias("doc_id"), words_of(whole_text(text_column)).alias("words"))
-    places = seeds(texts, [*masks, *["1" * n for n in lengths]])
+    masks = [mask for w in weights for mask in opening_masks(w)] or opening_masks(WEIGHT)
+    places = seeds(texts, masks)
     hits = places.join(F.broadcast(keys) if bounded else keys, "seed", "left_semi")
     met = hits.join(F.broadcast(seeded) if bounded else seeded, "seed")
 
+    def equal(i: int) -> Column:
+        return F.coalesce(F.get("words", F.col("at") + i) == F.get("item", F.col("item_at") + i), F.lit(False))
+
+    # the hits where a stretch can open: after a word that is not equal, and with points all along
+    counted = F.least(F.col("enough"), F.lit(OPENING))
+    points = sum((F.when(equal(i) & (counted > i), 1).otherwise(0) for i in range(OPENING)), F.lit(0))
+    met = met.where(~equal(-1)).where(points * 2 > counted)
+
     # the aligned part: item word i stands beside document word i + shift
     shift = F.col("at") - F.col("item_at")
     begin = F.greatest(F.lit(0), -F.col("shift"))
@@ -143,9 +167,8 @@ def overlaps(
             ),
         )
     )
-    enough = F.least(F.lit(min_score), F.ceil(F.lit(min_share) * F.size("item")).cast("int"))
     return (
-        aligned.where(F.col("best.score") >= enough)
+        aligned.where(F.col("best.score") >= F.col("enough"))
         .select(
             "doc_id",
             "item_id",

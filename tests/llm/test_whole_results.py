@@ -1,0 +1,60 @@
+"""Cases that a text operator must not leave out."""
+
+import itertools
+import math
+import random
+
+from rowloom.llm import decontaminate
+from tests.helpers import frame
+from tests.llm import brute
+
+
+def test_no_substitution_hides_a_leak(spark):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    pad = lambda words: " ".join([word() for _ in range(15)] + words + [word() for _ in range(15)])
+    items, docs = [], []
+
+    def leak(length: int, changed) -> None:
+        items.append([word() for _ in range(length)])
+        docs.append(pad([word() if i in changed else w for i, w in enumerate(items[-1])]))
+
+    for length in range(18, 25):
+        for changes in range(2, 6):
+            for _ in range(6):
+                leak(length, rng.sample(range(length), changes))
+    leak(12, [0]), leak(12, [11]), leak(10, [4]), leak(10, [0]), leak(11, [10]), leak(5, [0]), leak(5, [2]), leak(3, [1])
+    for length in (40, 60):
+        for every in (3, 4):
+            leak(length, range(0, length, every))
+            leak(length, range(every - 1, length, every))
+    found = decontaminate.overlaps(
+        frame(spark, "doc_id long, text string", *enumerate(docs)),
+        frame(spark, "item_id long, text string", *[(i, " ".join(x)) for i, x in enumerate(items)]),
+    )
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got == {(i, i) for i, (d, x) in enumerate(zip(docs, items)) if brute.contaminated(d, " ".join(x))}
+    assert {(i, i) for i in range(len(items) - 8, len(items))} & got
+
+
+def test_opening_masks_meet_every_accepted_pattern():
+    """All patterns of equal and other words of up to 14 words, and long random ones, with the points that they need."""
+    rng = random.Random(19)
+    patterns = [p for n in range(1, 15) for p in itertools.product([0, 1], repeat=n)]
+    patterns += [[int(rng.random() < 0.55) for _ in range(rng.randint(15, 120))] for _ in range(3000)]
+    for p in patterns:
+        enough = min(13, math.ceil(0.8 * len(p)))
+        run = best = 0
+        for e in p:
+            run = max(0, run) + (1 if e else -1)
+            best = max(best, run)
+        if best < enough:
+            continue
+        counted = min(enough, decontaminate.OPENING)
+        masks = decontaminate.opening_masks(min(enough, decontaminate.WEIGHT))
+        assert any(
+            not (at and p[at - 1])
+            and 2 * sum(p[at : at + counted]) > counted
+            and any(at + len(m) <= len(p) and all(p[at + k] for k, bit in enumerate(m) if bit == "1") for m in masks)
+            for at in range(len(p))
+        ), p
