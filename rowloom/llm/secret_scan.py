@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import no_spans, spans_of, whole_text
 
-RULE_VERSION = "1"
+RULE_VERSION = "1.1"
 LEDGER = "blob string, rule_version string, spans array<struct<kind:string,start:int,end:int,found:string>>"
 
 # The base patterns and least lengths, then this operator's own, in the order of listing.
@@ -22,15 +22,24 @@ LEDGER = "blob string, rule_version string, spans array<struct<kind:string,start
 ASSIGN = (
     r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
+# A key runs through its END line, past dashes that begin no such line and no next key; where the END line is
+# missing, through what follows of base64 (long runs, or short ones that end a line) and of fields.
+LINE_END = r"(?:\\[nr]|[\x0A\x0D\x22']|\z)"
+KEY_BODY = r"[^-]{0,}+(?:-{1,4}+[^-]{1,}+|-{5,}+(?:[^-BE]|B[^-E]|E[^-N])[^-]{0,}+){0,}+-{5,}+END [A-Z ]{0,30}PRIVATE KEY-----"
+KEY_LINES = (
+    r"(?:(?:[\x09-\x0D\x20\x22'>,|*#]|\\[nrt]){0,}+"
+    rf"(?:[A-Za-z0-9+/=]{{16,}}+|[A-Za-z0-9+/=]{{1,15}}+[\x20\x09]{{0,}}+{LINE_END}"
+    r"|[A-Za-z]{1,}+-[A-Za-z]{1,}+:[^\x0A\x0D\\]{0,}+)){0,}+"
+)
 RULES: list[tuple[str, str, int, int]] = [  # kind, pattern, group that must have the least length
     ("assign", ASSIGN, 1, 12),
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"(?<![0-9a-f])[0-9a-f]{16,}+", 0, 16),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}+", 0, 40),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 30),
-    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 27),
+    ("pem", rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----(?:{KEY_BODY}|{KEY_LINES})", 0, 27),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}+", 0, 15),
-    ("url", r"://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{3,64}@", 0, 9),
+    ("url", r"://[^\x00-\x20/:@]{0,}+:[^\x00-\x20/@]{1,}+@", 0, 6),
 ]
 BASE = ["assign", "access", "hex"]
 

@@ -1,10 +1,15 @@
 """Cases that a text operator must not leave out."""
 
+import base64
 import itertools
 import math
 import random
 
-from rowloom.llm import decontaminate
+import duckdb
+
+from rowloom.llm import decontaminate, secret_scan
+from rowloom.llm.oracles import LLM_ORACLES
+from rowloom.llm.queries import LLM_QUERIES
 from tests.helpers import frame
 from tests.llm import brute
 
@@ -58,3 +63,33 @@ def test_opening_masks_meet_every_accepted_pattern():
             and any(at + len(m) <= len(p) and all(p[at + k] for k, bit in enumerate(m) if bit == "1") for m in masks)
             for at in range(len(p))
         ), p
+
+
+def test_nothing_of_a_key_or_password_stays(spark, tmp_path):
+    rng = random.Random(23)
+    body = [base64.b64encode(rng.randbytes(48)).decode() for _ in range(24)] + ["c2hvcnQ="]
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0F1E2D3C", ""]
+    texts = [
+        end.join([head, *extra, *body, *closed, "after the key"])
+        for end in ("\n", "\r\n", "\n    ", "\n> ", "\\n", " ")
+        for extra in ([], fields)
+        for closed in ([tail], [])
+        if end != " " or closed  # one line without an END line is told from prose by its long runs only
+    ]
+    texts += ["\n".join([f"-{x}" for x in [head, *body, tail]] + ["after the key"])]
+    texts += ["\n".join([head, *body[:3], "-----", *body[3:], tail, "after the key"])]
+    texts += ["\n".join([head, *body, head, *body, tail, "after the key"])]
+    texts += [f"the line {head} opens a key, after the key"]
+    texts += ["\n".join([head] + body[:1] * 20_000 + [tail, "after the key"]), head + " a-b" * 20_000 + " after the key"]
+    texts += [f"ftp://{user}:{word}@host after the key" for user in ("", "u" * 70) for word in ("p", "x1" * 60, "a:b")]
+    docs = frame(spark, "doc_id long, text string", *enumerate(texts))
+    for r in secret_scan.redact_secrets(docs).collect():
+        assert "[SECRET]" in r.text and r.text.endswith("after the key"), (r.doc_id, r.text[:300])
+        assert not any(line in r.text for line in [*body, "DEK-Info", "END RSA", "x1x1", ":p@", "a:b"]), (r.doc_id, r.text[:300])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = LLM_QUERIES["op5_secret_scan"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.execute(f"SELECT {', '.join(found.columns)} FROM ({LLM_ORACLES['op5_secret_scan']})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
