@@ -69,6 +69,14 @@ def secret_spans(text: Column) -> Column:
     return F.transform(F.array_sort(ranked), lambda r: r["span"])
 
 
+def known_hits(scanned: DataFrame, ledger: DataFrame | None, rule_version: str) -> DataFrame:
+    """(blob, rule_version, spans): blobs with findings, scanned now or listed in the ledger, each once."""
+    known = scanned if ledger is None else scanned.unionByName(
+        ledger.where(F.col("rule_version") == rule_version).select("blob", "rule_version", "spans")
+    )
+    return known.where(F.size("spans") > 0).dropDuplicates(["blob"])
+
+
 def scan_versions(
     versions: DataFrame,
     ledger: DataFrame | None = None,
@@ -104,11 +112,8 @@ def scan_versions(
         .dropDuplicates(["blob"])
         .select("blob", F.lit(rule_version).alias("rule_version"), "spans")
     )
-    known = scanned if ledger is None else scanned.unionByName(
-        ledger.where(F.col("rule_version") == rule_version).select("blob", "rule_version", "spans")
-    )
     # as a struct the address is shuffled anew, so that the partition of a blob with very many paths can be split
-    hits = known.where(F.size("spans") > 0).dropDuplicates(["blob"]).select(F.struct("blob").alias("hit"), "spans")
+    hits = known_hits(scanned, ledger, rule_version).select(F.struct("blob").alias("hit"), "spans")
     findings = paths.join(hits, F.struct("blob") == F.col("hit"), "left").select(
         "path", "blob", F.coalesce("spans", no_spans()).alias("spans")
     )
@@ -134,10 +139,24 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     )
 
 
-def redact_secrets(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **parameters) -> DataFrame:
-    """``docs`` with every finding in the text replaced; rows without a finding, null texts too, stay as they are."""
-    _, scanned = scan_versions(docs, path_column=id_column, text_column=text_column, **parameters)
-    hits = scanned.where(F.size("spans") > 0).select(F.struct("blob", "spans").alias("_hit"))
+def redact_secrets(
+    docs: DataFrame,
+    ledger: DataFrame | None = None,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rule_version: str = RULE_VERSION,
+) -> DataFrame:
+    """``docs`` with every finding in the text replaced, those that the ledger lists too.
+
+    Rows without a finding, null texts too, stay as they are.
+    """
+    _, scanned = scan_versions(
+        docs, ledger, path_column=id_column, text_column=text_column, rule_version=rule_version
+    )
+    # blobs scanned now are listed once already
+    found = scanned.where(F.size("spans") > 0) if ledger is None else known_hits(scanned, ledger, rule_version)
+    hits = found.select(F.struct("blob", "spans").alias("_hit"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     text = F.col("doc").getField(text_column)
     joined = whole.join(hits, F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256) == F.col("_hit.blob"), "left")
