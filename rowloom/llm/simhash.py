@@ -122,7 +122,12 @@ def stars(values: np.ndarray, mask: int, bits: int) -> list[tuple[int, int]]:
 
 
 def links(nodes: DataFrame, bits: int) -> DataFrame:
-    """(u, v) links between distinct fingerprints (column ``fp``) that span every linked set."""
+    """(u, v) links between distinct fingerprints (column ``fp``) that span every linked set.
+
+    Two fingerprints surely meet if at most three bytes differ, so ``bits`` is at most 3.
+    """
+    if bits > 3:
+        raise ValueError(f"bits {bits}: the lists link up to 3 differing bits only")
     least = BYTES - bits
     postings = nodes.select(
         "fp",

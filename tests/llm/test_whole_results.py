@@ -6,8 +6,9 @@ import math
 import random
 
 import duckdb
+import pytest
 
-from rowloom.llm import decontaminate, secret_scan
+from rowloom.llm import decontaminate, secret_scan, simhash
 from rowloom.llm.oracles import LLM_ORACLES
 from rowloom.llm.queries import LLM_QUERIES
 from tests.helpers import frame
@@ -106,3 +107,8 @@ def test_redaction_with_a_filled_ledger(spark):
         "blob", "rule_version", secret_scan.no_spans().alias("spans")
     )
     assert {r.text for r in secret_scan.redact_secrets(docs, other).collect()} == {"[SECRET] a", "clean", "[SECRET] b"}
+
+
+def test_more_bits_than_the_lists_link_are_refused(spark):
+    with pytest.raises(ValueError, match="bits 4"):
+        simhash.links(frame(spark, "fp long", (0,), (0x0101000001010000,)), 4)
