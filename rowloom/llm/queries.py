@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, decontaminate, licenses, pii, quality, secret_scan, sharding, simhash, toxicity, warc
-from rowloom.llm.common import span_list, table, whole_text
+from rowloom.llm import bpe, decontaminate, licenses, pii, quality, runs, secret_scan, sharding, simhash, toxicity, warc
+from rowloom.llm.common import BLANKS, span_list, table, whole_text, words_between
 from rowloom.workspace import scratch_path
 
 SHARDS = 40
@@ -140,6 +140,46 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_text() -> Column:
+    """The text; where a tenth of the ids say so, with its words from one on repeating those that follow it."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        start = (g % n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+        turns = F.ceil((n - start) / period).cast("int")
+        copies = F.slice(F.flatten(F.array_repeat(F.slice(words, start + 1, period), turns)), 1, n - start)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, 1, start), copies), " "))
+
+    # as a lambda's variable the words are split once
+    words = F.array(words_between(whole_text("text"), BLANKS))
+    return F.when(h % 10 == 0, F.coalesce(F.get(F.transform(words, repeated), 0), whole_text("text"))).otherwise(whole_text("text"))
+
+
+def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_text().alias("text"))
+    found = runs.find_periodic_runs(docs)
+    # runs come by start and period, so the first of equal exponents stays
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", 0),
+        lambda a, b: F.when(b["length"] * a["period"] > a["length"] * b["period"], b).otherwise(a),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses_query,
     "op2_bpe": bpe_query,
@@ -151,4 +191,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontamination_query,
     "op9_warc": warc_query,
     "op10_sharding": sharding_query,
+    "op11_periodic_runs": runs_query,
 }

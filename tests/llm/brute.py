@@ -220,3 +220,48 @@ def archived(pages: list[tuple[int, str | None]]) -> set[tuple]:
 
 def crc(text: str | None) -> int:
     return zlib.crc32((text or "").encode())
+
+
+# --- periodic runs ---------------------------------------------------------------------------------
+
+
+def repeated_words(doc_id, text: str | None) -> list[str]:
+    """The words of a text, repeated from one of them on where its id says so."""
+    words = blank_words(text or "")
+    n = len(words)
+    if doc_id is None:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def periodic_runs(words: list) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs: every period is tried on the whole text."""
+    smallest: dict[tuple[int, int], int] = {}
+    for p in range(1, len(words) // 3 + 1):
+        i = 0
+        while i + p < len(words):
+            j = i
+            while j + p < len(words) and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(24, 3 * p):
+                smallest.setdefault((i, j + p), p)
+            i = max(j, i + 1)
+    return sorted((s, e - s, p) for (s, e), p in smallest.items())
+
+
+def run_row(doc_id, text: str | None) -> tuple:
+    words = repeated_words(doc_id, text)
+    runs = periodic_runs(words)
+    best = (None,) * 4
+    if runs:
+        s, n, p = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]))
+        best = (s, n, p, 1000 * n // p)
+    dropped = {i for s, n, p in runs for i in range(s + p, s + n)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (doc_id, len(runs), *best, sha256("".join(f"{s},{n},{p}\n" for s, n, p in runs)), sha256(kept))
