@@ -324,6 +324,49 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_sy
 FROM judged j LEFT JOIN failed f ON j.r = f.r
 """
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), {ALPHABET}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words FROM pieces),
+grams AS (
+  SELECT lang, 1 AS size, unnest(words) AS phrase FROM worded
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) FROM worded
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(words) - 1),
+                                        lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+  FROM worded),
+counts AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+parts AS (
+  SELECT lang, size, phrase, n AS a, split_part(phrase, ' ', 1) AS w1, split_part(phrase, ' ', 2) AS w2,
+         split_part(phrase, ' ', 3) AS w3
+  FROM counts WHERE size >= 2 AND n >= 10),
+cuts AS (
+  SELECT lang, size, phrase, a, 1 AS k, w1 AS first_part, w2 || CASE size WHEN 3 THEN ' ' || w3 ELSE '' END AS rest FROM parts
+  UNION ALL
+  SELECT lang, size, phrase, a, 2, w1 || ' ' || w2, w3 FROM parts WHERE size = 3),
+scored AS (
+  SELECT c.*, x.n AS l, y.n AS r, (1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = first_part AND x.size = c.k
+  JOIN counts y ON y.lang = c.lang AND y.phrase = rest AND y.size = c.size - c.k),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, size, phrase ORDER BY score, k) = 1),
+covering AS (
+  SELECT lang, pair, max(a) AS longest FROM (
+    SELECT lang, w1 || ' ' || w2 AS pair, a FROM parts WHERE size = 3
+    UNION ALL SELECT lang, w2 || ' ' || w3, a FROM parts WHERE size = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN covering v ON v.lang = w.lang AND v.pair = w.phrase AND w.size = 2
+  WHERE longest IS NULL OR 100 * longest < 50 * a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 LLM_ORACLES: dict[str, str] = {
     "op1_license_scan": LICENSES,
     "op5_secret_scan": SECRETS,
@@ -332,4 +375,5 @@ LLM_ORACLES: dict[str, str] = {
     "op8_decontamination": DECONTAMINATION,
     "op9_warc": WARC,
     "op10_sharding": SHARDING,
+    "op12_collocations": COLLOCATIONS,
 }

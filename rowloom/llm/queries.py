@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, decontaminate, licenses, pii, quality, runs, secret_scan, sharding, simhash, toxicity, warc
+from rowloom.llm import bpe, decontaminate, licenses, phrases, pii, quality, runs, secret_scan, sharding, simhash, toxicity, warc
 from rowloom.llm.common import BLANKS, span_list, table, whole_text, words_between
 from rowloom.workspace import scratch_path
 
@@ -180,6 +180,10 @@ def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phrases_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses_query,
     "op2_bpe": bpe_query,
@@ -192,4 +196,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": warc_query,
     "op10_sharding": sharding_query,
     "op11_periodic_runs": runs_query,
+    "op12_collocations": phrases_query,
 }

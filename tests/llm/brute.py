@@ -265,3 +265,30 @@ def run_row(doc_id, text: str | None) -> tuple:
     dropped = {i for s, n, p in runs for i in range(s + p, s + n)}
     kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
     return (doc_id, len(runs), *best, sha256("".join(f"{s},{n},{p}\n" for s, n, p in runs)), sha256(kept))
+
+
+# --- collocations ----------------------------------------------------------------------------------
+
+
+def collocations(texts, least: int = 10, best: int = 2000) -> list[tuple]:
+    """All phrases of (lang, text) pairs, counted one by one."""
+    counts: dict[str, Counter] = defaultdict(Counter)
+    for lang, text in texts:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", ascii_lower(text or "")):
+            words = [w for w in re.split(r"[\x20\x09]+", piece) if w]
+            for size in (1, 2, 3):
+                own = counts["und" if lang is None else lang]
+                own.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, own in sorted(counts.items()):
+        frequent = {p: n for p, n in own.items() if len(p) > 1 and n >= least}
+        scored = []
+        for p, a in frequent.items():
+            if any(len(q) > len(p) and 100 * n >= 50 * a and p in (q[:-1], q[1:]) for q, n in frequent.items()):
+                continue
+            score, k = min((1_000_000 * a * a // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        n = sum(v for p, v in own.items() if len(p) == 1)
+        ranked = enumerate(sorted(scored)[:best], 1)
+        out += [(lang, i, phrase.decode(), -a, l, r, n, -score) for i, (score, a, phrase, l, r) in ranked]
+    return out

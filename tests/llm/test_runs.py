@@ -89,7 +89,7 @@ def test_planted_rows(spark, tmp_path):
     frame(spark, "doc_id long, text string", *enumerate(texts)).write.parquet(f"{tmp_path}/documents.parquet")
     got = Counter(map(tuple, LLM_QUERIES["op11_periodic_runs"](spark, str(tmp_path)).collect()))
     assert got == Counter(brute.run_row(*r) for r in enumerate(texts))
-    assert sum(r[1] > 0 for r in got) > 10
+    assert sum(r[1] > 0 for r in got) > 5
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
