@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, decontaminate, licenses, phrases, pii, quality, runs, secret_scan, sharding, simhash, toxicity, warc
+from rowloom.llm import (
+    bpe, decontaminate, extraction, licenses, phrases, pii, quality, runs, secret_scan, sharding, simhash, toxicity, warc,
+)
 from rowloom.llm.common import BLANKS, span_list, table, whole_text, words_between
 from rowloom.workspace import scratch_path
 
@@ -184,6 +186,11 @@ def phrases_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine_collocations(table(spark, sf_dir, "documents"))
 
 
+def extraction_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses_query,
     "op2_bpe": bpe_query,
@@ -197,4 +204,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": sharding_query,
     "op11_periodic_runs": runs_query,
     "op12_collocations": phrases_query,
+    "op13_main_text": extraction_query,
 }
