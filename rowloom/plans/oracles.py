@@ -219,6 +219,44 @@ FROM classified WHERE m_partkey IS NOT NULL
 UNION ALL
 SELECT l_orderkey, l_linenumber, d_partkey, d_quantity, d_flag, '2024-12-01', '9999-12-31', 'Y'
 FROM classified WHERE status IN ('N', 'U')"""
+# in the right order of days: the first extract, then the later one
+ORACLES["scd2_history_insert"] = f"""
+WITH {CUSTOMER_DELTA},
+opened AS (SELECT *, '2024-01-01' AS eff_dt, '9999-12-31' AS end_dt, 'Y' AS act_in FROM customer),
+later AS (SELECT * REPLACE (CASE WHEN c_custkey % 7 = 0 THEN 'LATER' ELSE c_mktsegment END AS c_mktsegment) FROM customer),
+first_state AS ({merged("opened", "customer_delta", "2024-12-01", "c_custkey", ["c_mktsegment"], missing="expire")}),
+second_state AS ({merged("first_state", "later", "2025-03-01", "c_custkey", ["c_mktsegment"], missing="expire")})
+SELECT * FROM second_state"""
+
+# what each customer looked like on each day, and the days on which that began and ended
+ORACLES["scd2_many_extracts"] = f"""
+WITH {CUSTOMER_DIMENSION},
+days AS (SELECT unnest(range(0, 30)) AS n),
+extracts AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, n,
+         CASE WHEN (c_custkey + n) % 11 = 0 THEN NULL WHEN (c_custkey * 7 + n) % 9 < 2 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment
+  FROM customer, days WHERE (c_custkey * 3 + n) % 13 <> 0
+  UNION ALL
+  SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, n, c_mktsegment
+  FROM customer, days WHERE c_custkey % 40 = 0 AND n % 4 <> 1),
+seen AS (  -- the day before the first extract is the version that was open then
+  SELECT * FROM extracts UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, -1, c_mktsegment FROM customer),
+marked AS (
+  SELECT *, CASE WHEN lag(n) OVER k IS DISTINCT FROM n - 1 OR lag(c_mktsegment) OVER k IS DISTINCT FROM c_mktsegment
+                 THEN 1 ELSE 0 END AS begins
+  FROM seen WINDOW k AS (PARTITION BY c_custkey ORDER BY n)),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY c_custkey ORDER BY n) AS island FROM marked),
+spans AS (
+  SELECT c_custkey, min(c_name) AS c_name, min(c_nationkey) AS c_nationkey, min(c_acctbal) AS c_acctbal,
+         min(c_mktsegment) AS c_mktsegment, min(n) AS first_n, max(n) AS last_n
+  FROM numbered GROUP BY c_custkey, island)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       CASE WHEN first_n < 0 THEN '2024-01-01' ELSE CAST(DATE '2024-06-01' + first_n::INT AS VARCHAR) END AS eff_dt,
+       CASE WHEN last_n = 29 THEN '9999-12-31' ELSE CAST(DATE '2024-06-01' + (last_n + 1)::INT AS VARCHAR) END AS end_dt,
+       CASE WHEN last_n = 29 THEN 'Y' ELSE 'N' END AS act_in
+FROM spans
+UNION ALL SELECT * FROM dimension WHERE act_in = 'N'"""
+
 ORACLES["latest_version"] = f"""
 WITH {AFTER_SECOND}
 SELECT * FROM second_merge

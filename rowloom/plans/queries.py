@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom import workspace
-from rowloom.operators import cdc, changes, cleanse, ingest, recon, scd2
+from rowloom.operators import cdc, changes, cleanse, history, ingest, recon, scd2
 from rowloom.plans import jobs
 from rowloom.plans import testbed as tb
 from rowloom.sources import delimited, lake, tables
@@ -181,6 +181,32 @@ def scd2_as_of(spark, sf_dir):
     return _dated(scd2.scd2_as_of(_second_merge(spark, sf_dir), tb.FIRST_RUN))
 
 
+@query
+def scd2_history_insert(spark, sf_dir):
+    """The extracts of two days, the later one first; the earlier one is a late extract of another day as well."""
+    customers = tb.table(spark, sf_dir, "customer")
+    dimension, known = scd2.open_versions(customers, tb.OPENED), [tb.OPENED]
+    later = customers.withColumn("c_mktsegment", F.when(~tb.every("c_custkey", 7), F.col("c_mktsegment")).otherwise("LATER"))
+    for day, rows in ((tb.SECOND_RUN, later), (tb.FIRST_RUN, tb.customer_delta(customers))):
+        extract = rows.withColumn(history.DAY, F.lit(day))
+        dimension = workspace.materialize(
+            history.merge_extracts(dimension, extract, CUSTOMER_KEY, SEGMENT, [day], known)
+        )
+        known.append(day)
+    return _dated(dimension)
+
+
+@query
+def scd2_many_extracts(spark, sf_dir):
+    """Thirty daily extracts in one plan."""
+    customers = tb.table(spark, sf_dir, "customer")
+    return _dated(
+        history.merge_extracts(
+            tb.customer_dimension(customers), tb.customer_extracts(customers), CUSTOMER_KEY, SEGMENT, tb.EXTRACT_DAYS, [tb.OPENED]
+        )
+    )
+
+
 # ---- change data capture
 
 

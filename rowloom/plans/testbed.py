@@ -7,7 +7,7 @@ keys are ``-key - 1``, which no table uses.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +55,20 @@ def customer_dimension(customers: DataFrame) -> DataFrame:
     return current.unionByName(closed)
 
 
+EXTRACT_DAYS = [date(2024, 6, 1) + timedelta(days=i) for i in range(30)]
+
+
+def customer_extracts(customers: DataFrame) -> DataFrame:
+    """Thirty daily extracts: each day some segments change, some customers are absent, and some are new."""
+    numbered = F.explode(F.sequence(F.lit(0), F.lit(len(EXTRACT_DAYS) - 1))).alias("n")
+    key, n = F.col("c_custkey"), F.col("n")
+    segment = F.when((key + n) % 11 == 0, F.lit(None)).when((key * 7 + n) % 9 < 2, "CHANGED").otherwise(F.col("c_mktsegment"))
+    daily = customers.select("*", numbered).withColumn("extract_day", F.date_add(F.lit(EXTRACT_DAYS[0]), n))
+    known = daily.where((key * 3 + n) % 13 != 0).withColumn("c_mktsegment", segment)
+    new = daily.where((key % 40 == 0) & (n % 4 != 1)).withColumn("c_custkey", -key - 1)
+    return known.unionByName(new).drop("n")
+
+
 def order_records(orders: DataFrame) -> DataFrame:
     return orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
 
