@@ -17,7 +17,7 @@ distinct phrase; Spark adds these up.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import count
 
 import numpy as np
@@ -35,8 +35,8 @@ from rowloom.workspace import materialize
 FILTER_BITS = 1 << 26
 #: One document in so many is in the sample; what it holds so often is proposed.
 SAMPLED, PROPOSED = 8, 2
-#: Words that a task counts at a time. Numbers of three words multiply to less than 2**63.
-PORTION = 1 << 20
+#: Words that a task counts at a time. Three numbers of words make one of less than 2**63.
+PORTION = 2_000_000
 UNDEFINED = "und"
 MARK = b"\xff"  # no byte of UTF-8
 # What ends a piece, and letters that become lower case.
@@ -79,26 +79,24 @@ def distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_phrases(
-    lang: str, tokens: list[bytes], own: int, former: Filter | None, current: Filter | None
-) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(words, phrases, counts) of the phrases that start among the first ``own`` tokens.
+    lang: str, words: list[bytes], at: np.ndarray, own: int, former: Filter | None, current: Filter | None
+) -> Iterator[tuple[int, tuple[np.ndarray, ...], np.ndarray]]:
+    """(length, numbers of the words, counts) of the phrases that start among the first ``own`` places.
 
-    ``current`` says which words and pairs are proposed; without it all words and pairs count, no longer
+    ``at`` holds the numbers of the words, as places in ``words``, in the order of the text; number 0 marks the end of a
+    piece. ``current`` says which words and pairs are proposed; without it all words and pairs count, no longer
     phrases. ``former`` says which were when the last pass counted; without it nothing has been counted.
     """
-    numbers: dict[bytes, int] = defaultdict(count().__next__)
-    mark = numbers[MARK]
-    at = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    names, size = pa.array(list(numbers), pa.binary()), len(numbers)
-    hashes = word_hashes(lang, list(numbers))
+    size, hashes = len(words), word_hashes(lang, words)
+    at = at.astype(np.int64)
     if former is None:
         times = np.bincount(at[:own], minlength=size)
-        times[mark] = 0
-        yield 0, pa.array([b""], pa.binary()), times.sum(keepdims=True)
+        times[0] = 0
+        yield 0, (), times.sum(keepdims=True)
         met = np.nonzero(times)[0]
-        yield 1, names.take(pa.array(met)), times[met]
+        yield 1, (met,), times[met]
     left, right = at[:-1], at[1:]
-    pair = (left != mark) & (right != mark)
+    pair = (left != 0) & (right != 0)
     counted = pair
     if current is not None:
         proposed = passes(current, bits_of(hashes, 1, len(current)))
@@ -107,7 +105,7 @@ def count_phrases(
             before = passes(former, bits_of(hashes, 1, len(current)))
             counted &= ~(before[left] & before[right])
     found, times = distinct((left * size + right)[:own][counted[:own]])
-    yield 2, joined(names, found // size, found % size), times
+    yield 2, (found // size, found % size), times
     if current is None:
         return
     bits = bits_of(mixed(hashes[left], hashes[right]), 2, len(current))
@@ -118,10 +116,24 @@ def count_phrases(
         counted &= ~(before[:-1] & before[1:])
     starts = np.nonzero(counted[:own])[0]
     found, times = distinct((at[starts] * size + at[starts + 1]) * size + at[starts + 2])
-    yield 3, joined(names, found // size // size, found // size % size, found % size), times
+    yield 3, (found // size // size, found // size % size, found % size), times
 
 
-def joined(names: pa.Array, *numbers: np.ndarray) -> pa.Array:
+class Portion:
+    """Texts of one language that wait to be counted, as numbers of their words."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = defaultdict(count().__next__)
+        self.numbers[MARK]
+        self.parts: list[np.ndarray] = []
+
+    def add(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens))
+
+
+def joined(names: pa.Array, numbers: Sequence[np.ndarray]) -> pa.Array:
+    if not numbers:
+        return pa.array([b""], pa.binary())
     return pc.binary_join_element_wise(*(names.take(pa.array(n)) for n in numbers), pa.scalar(b" ", pa.binary()))
 
 
@@ -132,37 +144,44 @@ def counted_phrases(docs: DataFrame, former: Filter | None, current: Filter | No
     """
     known = docs.sparkSession.sparkContext.broadcast((former, current))
 
-    def rows_of(lang: str, tokens: list[bytes], own: int) -> Iterator[pa.RecordBatch]:
-        for words, phrases, times in count_phrases(lang, tokens, own, *known.value):
-            for i in range(0, len(phrases), 1 << 16):
-                some = phrases.slice(i, 1 << 16)
+    def rows_of(lang: str, portion_of: Portion, at: np.ndarray, own: int) -> Iterator[pa.RecordBatch]:
+        words = list(portion_of.numbers)
+        names = pa.array(words, pa.binary())
+        for length, numbers, times in count_phrases(lang, words, at, own, *known.value):
+            for i in range(0, len(times), 1 << 16):
+                some = joined(names, [n[i : i + (1 << 16)] for n in numbers])
                 n = len(some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n), pa.array(np.full(n, words, np.int8)), some.cast(pa.string()), pa.array(times[i : i + n], pa.int64())],
+                    [pa.array([lang] * n), pa.array(np.full(n, length, np.int8)), some.cast(pa.string()), pa.array(times[i : i + n], pa.int64())],
                     ["lang", "words", "phrase", "n"],
                 )
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[bytes]] = defaultdict(list)
+        waiting: dict[str, Portion] = defaultdict(Portion)
         held = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                tokens, start = tokens_of(text.as_py()), 0
+                tokens = tokens_of(text.as_py())
                 tokens.append(MARK)
-                while len(tokens) - start > portion:  # phrases belong to the part that they start in
-                    yield from rows_of(lang, tokens[start : start + portion + 2], portion)
-                    start += portion
-                waiting[lang] += tokens[start:]
-                held += len(tokens) - start
-                if held > portion:
+                for start in range(0, len(tokens) - portion, portion):  # phrases belong to the part that they start in
+                    alone = Portion()
+                    yield from rows_of(lang, alone, alone.add(tokens[start : start + portion + 2]), portion)
+                rest = tokens[(len(tokens) - 1) // portion * portion :]
+                if held + len(rest) > portion:
                     for name, own in waiting.items():
-                        yield from rows_of(name, own, len(own))
+                        at = np.concatenate(own.parts)
+                        yield from rows_of(name, own, at, len(at))
                     waiting.clear()
                     held = 0
+                waiting[lang].parts.append(waiting[lang].add(rest))
+                held += len(rest)
         for name, own in waiting.items():
-            yield from rows_of(name, own, len(own))
+            at = np.concatenate(own.parts)
+            yield from rows_of(name, own, at, len(at))
 
-    return docs.mapInArrow(tally, COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    # what tasks hand on is added up already, so it is dealt out before Spark adds it up once
+    rows = docs.mapInArrow(tally, COUNTED).repartition("lang", "words", "phrase")
+    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def filter_of(phrases: DataFrame, size: int) -> Filter:
