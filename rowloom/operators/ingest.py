@@ -126,12 +126,14 @@ def rows_per_file(rows: DataFrame, name_pattern: str = r"([^/]+)$") -> DataFrame
     that ends at the folder, and its parts count as one file. Files of one name in different folders are
     different files: one row tells their rows and that ``n_files`` is over 1.
     """
-    path = F.col("_metadata.file_path")
-    located = rows.select(
+    path = F.col("file_path")
+    per_path = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_rows"))
+    located = per_path.select(  # names are taken apart once per file, not per row
         F.regexp_extract(path, f"^(.*?){name_pattern}", 1).alias("folder"),
         F.regexp_extract(path, name_pattern, 1).alias("file_name"),
+        "n_rows",
     )
-    per_file = located.groupBy("folder", "file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    per_file = located.groupBy("folder", "file_name").agg(F.sum("n_rows").alias("n_rows"))
     return per_file.groupBy("file_name").agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
 
 

@@ -197,6 +197,16 @@ SELECT (SELECT count(*) FROM lines) AS master_rows, (SELECT count(*) FROM line_c
        TRUE AS balanced
 FROM classified"""
 
+ORACLES["control_total_written"] = f"""
+WITH {LINE_CLASSES}
+SELECT count(*) AS n_rows,
+       count(*) FILTER (m_partkey IS NOT NULL) AS master_rows, count(*) FILTER (d_partkey IS NOT NULL) AS delta_rows,
+       count(*) FILTER (status = 'C') AS common_rows, count(*) FILTER (status = 'N') AS new_rows,
+       count(*) FILTER (status = 'U') AS updated_rows, count(*) FILTER (status = 'D') AS deleted_rows,
+       count(*) FILTER (status = 'R' AND m_partkey IS NOT NULL) AS rejected_master_rows,
+       count(*) FILTER (status = 'R' AND m_partkey IS NULL) AS rejected_delta_rows
+FROM classified"""
+
 # ---- dimensions
 
 ORACLES["scd2_single"] = f"WITH {CUSTOMER_DELTA}, {CUSTOMER_DIMENSION} {FIRST_MERGE}"
@@ -620,7 +630,7 @@ FROM sold s LEFT JOIN once o ON s.Product_ID = o.Product_ID GROUP BY ALL"""
 
 ORACLES["read_with_header"] = """
 SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, CAST(s_nationkey AS VARCHAR) AS as_text FROM supplier"""
-ORACLES["read_without_header"] = "SELECT CAST(n_nationkey AS VARCHAR) AS _c0, n_name AS _c1 FROM nation"
+ORACLES["read_without_header"] = "SELECT CAST(o_orderkey AS VARCHAR) AS _c0, o_orderstatus AS _c1, o_orderpriority AS _c2 FROM orders"
 ORACLES["write_timestamps"] = """
 SELECT CAST(event_id AS VARCHAR) AS _c0, strftime(ts, '%Y/%m/%d %H.%M.%S') AS _c1 FROM events"""
 ORACLES["files_of_one_name"] = """
@@ -644,3 +654,59 @@ UNION ALL SELECT 3, '2024-03-03 00:00:00', 'append', 0, 0
 UNION ALL SELECT 4, '2024-03-04 00:00:00', 'append', count(DISTINCT event_date), count(*) FROM late"""
 ORACLES["read_as_of_after_empty_load"] = f"WITH {LOADS} SELECT {EVENT_COLUMNS} FROM daily"
 ORACLES["stream_in_intervals"] = ORACLES["stream_ingest"]
+
+
+# ---- digests, repeated keys, headers, hidden partitions, loads
+
+ORACLES["reconcile_rows_by_digest"] = """
+WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem),
+b AS (SELECT * REPLACE (CASE WHEN l_orderkey % 50 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM a)
+SELECT *, 'TARGET' AS MISSING_FROM FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT *, 'SOURCE' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""
+
+ORACLES["reconcile_digested"] = """
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders),
+b AS (SELECT * REPLACE (CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM a)
+SELECT *, 'TARGET' AS MISSING_FROM FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT *, 'SOURCE' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""
+
+ORACLES["reconcile_repeated"] = f"""
+WITH {LINE_SIDES},
+a AS (SELECT l_orderkey, l_partkey, l_returnflag FROM lines),
+b AS (SELECT l_orderkey, l_partkey, l_returnflag FROM line_changes WHERE l_partkey % 15 <> 0),
+x AS (SELECT *, row_number() OVER o AS pair FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+      WINDOW o AS (PARTITION BY l_orderkey ORDER BY l_partkey, l_returnflag)),
+y AS (SELECT *, row_number() OVER o AS pair FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
+      WINDOW o AS (PARTITION BY l_orderkey ORDER BY l_partkey, l_returnflag)),
+p AS (SELECT coalesce(x.l_orderkey, y.l_orderkey) AS l_orderkey, CAST(coalesce(x.pair, y.pair) AS VARCHAR) AS pair,
+             x.l_partkey AS p1, x.l_returnflag AS f1, y.l_partkey AS p2, y.l_returnflag AS f2
+      FROM x FULL JOIN y ON x.l_orderkey = y.l_orderkey AND x.pair = y.pair)
+SELECT l_orderkey, pair, 'both' AS presence, 'l_partkey' AS mismatched_col_name,
+       CAST(p1 AS VARCHAR) AS value_from_t1, CAST(p2 AS VARCHAR) AS value_from_t2
+FROM p WHERE p1 IS NOT NULL AND p2 IS NOT NULL AND p1 <> p2
+UNION ALL SELECT l_orderkey, pair, 'both', 'l_returnflag', f1, f2 FROM p WHERE p1 IS NOT NULL AND p2 IS NOT NULL AND f1 <> f2
+UNION ALL SELECT l_orderkey, pair, 'left_only', NULL, p1 || ',' || f1, NULL FROM p WHERE p2 IS NULL
+UNION ALL SELECT l_orderkey, pair, 'right_only', NULL, NULL, p2 || ',' || f2 FROM p WHERE p1 IS NULL"""
+
+ORACLES["read_by_header"] = """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS c_mktsegment FROM customer"""
+
+ORACLES["read_time_range"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
+WHERE ts >= TIMESTAMP '2024-01-03 06:00:00' AND ts < TIMESTAMP '2024-01-07' OR ts >= TIMESTAMP '2024-01-20 18:30:00'"""
+
+ORACLES["load_counts"] = f"""
+WITH {LOADS},
+loads AS (SELECT 1::BIGINT AS load_id, * FROM daily UNION ALL SELECT 2, * FROM corrected UNION ALL SELECT 3, * FROM late)
+SELECT load_id, count(*) AS n_rows, CAST(trunc(sum(CAST(value AS DECIMAL(18,2)))) AS BIGINT) AS total_value,
+       count(*) FILTER (event_type = 'error') AS errors
+FROM loads GROUP BY load_id"""
+
+ORACLES["changes_between_loads"] = f"""
+WITH {LOADS},
+signed AS (SELECT *, 1 AS sign FROM third_state UNION ALL SELECT *, -1 FROM daily),
+summed AS (SELECT event_id, user_id, event_type, value, event_date, sum(sign) AS n FROM signed GROUP BY ALL)
+SELECT {EVENT_COLUMNS}, CASE WHEN n > 0 THEN 'added' ELSE 'removed' END AS change, abs(n)::BIGINT AS copies
+FROM summed WHERE n <> 0"""
+
+ORACLES["stream_load"] = f"WITH {LOADS} SELECT {EVENT_COLUMNS} FROM daily"

@@ -6,12 +6,14 @@ import json
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom import workspace
-from rowloom.operators import cdc, changes, cleanse, history, ingest, recon, scd2
+from rowloom.functions import transforms
+from rowloom.operators import cdc, changes, cleanse, counts, digests, history, ingest, recon, repeated, scd2
 from rowloom.plans import jobs
 from rowloom.plans import testbed as tb
 from rowloom.sources import delimited, lake, tables
@@ -102,6 +104,19 @@ def control_total(spark, sf_dir):
     return changes.control_total(lines, tb.lineitem_delta(lines), LINE_KEY, LINE_COMPARE)
 
 
+@query
+def control_total_written(spark, sf_dir):
+    """The control total that the write of the classified rows counts."""
+    lines = tb.table(spark, sf_dir, "lineitem")
+    counted = counts.counting_changes(changes.classify_changes(lines, tb.lineitem_delta(lines), LINE_KEY, LINE_COMPARE))
+    counted.rows.write.parquet(workspace.scratch_path(spark, "classified"))
+    return _counted(spark, [counted.totals()])
+
+
+def _counted(spark, totals: list[dict[str, int]]) -> DataFrame:
+    return spark.createDataFrame([tuple(t.values()) for t in totals], ", ".join(f"{name} long" for name in totals[0]))
+
+
 # ---- dimensions
 
 
@@ -339,6 +354,33 @@ def reconcile_rows(spark, sf_dir):
     return recon.reconcile_rows(tb.order_records(orders), tb.order_delta(orders))
 
 
+@query
+def reconcile_rows_by_digest(spark, sf_dir):
+    lines = tb.lineitem_records(tb.table(spark, sf_dir, "lineitem"))
+    quantity = F.when(tb.every("l_orderkey", 50), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    return digests.reconcile_rows_by_digest(lines, lines.withColumn("l_quantity", quantity), ["l_orderkey"])
+
+
+@query
+def reconcile_digested(spark, sf_dir):
+    """Two written tables; only folders in which their digests differ are read."""
+    folder, orders = workspace.scratch_path(spark, "digested"), tb.order_records(tb.table(spark, sf_dir, "orders"))
+    status = F.when(tb.every("o_orderkey", 97), "X").otherwise(F.col("o_orderstatus"))
+    one = digests.write_digested(orders, f"{folder}/one", ORDER_KEY)
+    two = digests.write_digested(orders.withColumn("o_orderstatus", status), f"{folder}/two", ORDER_KEY)
+    return digests.reconcile_digested(spark, one, two, ORDER_KEY)
+
+
+@query
+def reconcile_repeated(spark, sf_dir):
+    """Line items by order: rows of an order are paired after equal ones cancel."""
+    lines = tb.table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_partkey", "l_returnflag", "l_shipmode"]
+    columns = [c for c in columns if c in lines.columns]
+    left, right = lines.select(columns), tb.lineitem_delta(lines).where(~tb.every("l_partkey", 15)).select(columns)
+    return _text(repeated.reconcile_repeated(left, right, ["l_orderkey"], ["l_partkey", "l_returnflag"]), "pair")
+
+
 @query
 def rows_without_equal(spark, sf_dir):
     lines = tb.table(spark, sf_dir, "lineitem")
@@ -683,10 +725,24 @@ def read_with_header(spark, sf_dir):
 @query
 def read_without_header(spark, sf_dir):
     path = workspace.scratch_path(spark, "delimited")
-    delimited.write_delimited(tb.table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), path, sep="|")
+    orders = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    delimited.write_delimited(orders, path, sep="|")
     return delimited.read_delimited(spark, path, sep="|")
 
 
+@query
+def read_by_header(spark, sf_dir):
+    """Three extracts with their columns in three orders; one lacks a column, one has one more."""
+    folder, customers = workspace.scratch_path(spark, "headers"), tb.table(spark, sf_dir, "customer")
+    orders = [["c_custkey", "c_name", "c_mktsegment"], ["c_mktsegment", "c_custkey", "c_name", "c_nationkey"], ["c_name", "c_custkey"]]
+    for i, columns in enumerate(orders):
+        rows = customers.where(F.col("c_custkey") % len(orders) == i).select(columns)
+        delimited.write_delimited(rows, f"{folder}/{i}", sep="|", header=True)
+    schema = T.StructType().add("c_custkey", "long").add("c_name", "string").add("c_mktsegment", "string")
+    read = delimited.read_by_header(spark, f"{folder}/*", schema, sep="|")
+    return _text(read.drop(delimited.CORRUPT), "c_mktsegment")
+
+
 @query
 def write_timestamps(spark, sf_dir):
     path = workspace.scratch_path(spark, "delimited")
@@ -718,6 +774,17 @@ def daily_partition(spark, sf_dir):
     return _text(days, "partition_date")
 
 
+@query
+def read_time_range(spark, sf_dir):
+    """A table by the hidden day of its timestamp; a range of timestamps reads the folders of its days."""
+    path, by_day = workspace.scratch_path(spark, "table"), transforms.days("ts")
+    events = tb.table(spark, sf_dir, "events").select("event_id", "ts")
+    tables.write_table(by_day.added(events), path, partition_by=[by_day.partition])
+    wanted = by_day.within(datetime(2024, 1, 3, 6), datetime(2024, 1, 7)) | by_day.at_least(datetime(2024, 1, 20, 18, 30))
+    rows = tables.read_where(spark, path, wanted).select("event_id", "ts")
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 @query
 def parse_delimited_text(spark, sf_dir):
     extra = F.when(tb.every("p_partkey", 17), "more")
@@ -792,6 +859,24 @@ def update_rows(spark, sf_dir):
     return _text(lake.read_as_of(spark, path), "event_date")
 
 
+@query
+def load_counts(spark, sf_dir):
+    """What each of three loads counted while it wrote its rows."""
+    path, counted = workspace.scratch_path(spark, "lake"), []
+    totals = {"total_value": F.sum(F.col("value").cast("decimal(18,2)")).cast("long"), "errors": F.count_if(F.col("event_type") == "error")}
+    for (mode, rows), load_ts in zip(tb.event_loads(tb.table(spark, sf_dir, "events")), LOAD_TIMES):
+        load = lake.load_counted(rows, path, "event_date", load_ts, mode=mode, totals=totals)
+        counted.append({"load_id": load.load_id} | load.totals)
+    return _counted(spark, counted)
+
+
+@query
+def changes_between_loads(spark, sf_dir):
+    """From the first load to the third: corrected days, and late rows of every day."""
+    changed = lake.changes_between(spark, _loaded_table(spark, sf_dir), 1, 3)
+    return _text(changed, "event_date")
+
+
 @query
 def read_partitions_where(spark, sf_dir):
     """Only the folders of the partitions that meet the condition are read."""
@@ -875,3 +960,28 @@ def stream_split(spark, sf_dir):
     stream = _event_stream(spark, sf_dir).withColumn("event_type", gaps)
     streaming.stream_split(stream, ["event_type", "value"], f"{folder}/checkpoint", f"{folder}/rows").awaitTermination()
     return spark.read.schema(stream.schema.add("is_valid", "boolean")).parquet(f"{folder}/rows")
+
+
+@query
+def stream_load(spark, sf_dir):
+    """A stream in several batches, ended right after a load and started again: the batch is repeated and loaded once."""
+    folder, events = workspace.scratch_path(spark, "stream"), tb.daily_events(tb.table(spark, sf_dir, "events"))
+    events.repartition(3, "event_id").write.parquet(f"{folder}/landing")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+
+    def start(after_load=None):
+        return streaming.stream_load(
+            stream, f"{folder}/table", "event_date", f"{folder}/checkpoint", lambda n: datetime(2024, 3, 1 + n), "events",
+            after_load=after_load,
+        )
+
+    def end_after_second(batch_id: int, load: lake.Load) -> None:
+        if batch_id == 1:
+            raise InterruptedError("ended after the load")
+
+    try:
+        start(end_after_second).awaitTermination()
+    except StreamingQueryException:
+        pass
+    start().awaitTermination()
+    return _text(lake.read_as_of(spark, f"{folder}/table"), "event_date")

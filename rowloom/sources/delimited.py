@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +102,71 @@ def read_delimited(
     return _parse_formatted(reader.schema(columns).csv(path), schema, check)
 
 
+def headers(
+    spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8"
+) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their header: the fields of the first line. Files without a line are left out.
+
+    Only the first line of a file is read, by the driver, which lists the files for any read.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file: str) -> str | None:
+        where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        codec = codecs.getCodec(where)
+        stream = where.getFileSystem(conf).open(where)
+        reader = jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding)
+        )
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, line in zip(files, pool.map(first_line, files)):
+            if line is not None:
+                fields = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep))
+                found.setdefault(tuple(f.strip() for f in fields), []).append(file)
+    return found
+
+
+def read_by_header(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | None = None,
+    sep: str = ",",
+    null_value: str = "",
+    check: bool = True,
+    encoding: str = "UTF-8",
+    **options: str,
+) -> DataFrame:
+    """Read files with a header each by the names in it, whatever their order or number.
+
+    Files of one header are read together, and the groups are united by name. With a schema the result has its
+    columns: one that a file lacks is null there, one that the schema lacks is not returned, and ``check`` works as in
+    ``read_delimited``, against the fields of the file's own header. Without a schema the result has the columns of all files,
+    as strings. A header that names a column twice is an error.
+    """
+    parts = []
+    for names, files in headers(spark, path, sep, encoding).items():
+        if len(set(names)) < len(names):
+            raise ValueError(f"a header names a column twice: {', '.join(names)} in {files[0]}")
+        known = {f.name: f for f in schema} if schema is not None else {}
+        own = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+        rows = read_delimited(spark, files, own, sep, True, null_value, check and schema is not None, encoding=encoding, **options)
+        wanted = [n for n in rows.columns if schema is None or n in known or n == CORRUPT]
+        parts.append(rows.select(*(F.col(f"`{n}`") for n in wanted)))
+    extra = [T.StructField(CORRUPT, T.StringType())] if check and schema is not None else []
+    plain = [T.StructField(f.name, f.dataType) for f in schema or []]
+    if schema is not None or not parts:
+        parts.insert(0, spark.createDataFrame([], T.StructType([*plain, *extra])))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def text_lines(spark: SparkSession, text: str) -> DataFrame:
     """The lines of a text held in memory, in a column ``value``."""
     return spark.createDataFrame([(line,) for line in text.splitlines()], "value string")

@@ -19,15 +19,18 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.parsing import timestamp_literal
+from rowloom.operators.counts import counting
 
-LOG_SCHEMA = "slot string, mode string, n_rows long, load_ts timestamp_ntz, columns string, load_id long"
+LOG_SCHEMA = (
+    "slot string, mode string, n_rows long, load_ts timestamp_ntz, columns string, source string, batch_id long, load_id long"
+)
 KEYS = T.StructType().add("load_id", T.LongType()).add("slot", T.StringType())
 
 
@@ -48,12 +51,10 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 def read_log(spark: SparkSession, table: str) -> DataFrame:
     """The load log; empty when nothing was loaded yet."""
-    try:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/log")
+    if path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
         return spark.read.schema(LOG_SCHEMA).parquet(f"{table}/log")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.createDataFrame([], LOG_SCHEMA)
 
 
 def log_until(log: DataFrame, load_id: int | None = None, load_ts: datetime | None = None) -> DataFrame:
@@ -186,10 +187,38 @@ def load_partition(
     has no row for them. ``spread`` lets Spark cut large partitions into several files and
     gather small ones, at the price of a shuffle.
     """
+    return load_counted(df, table, partition_by, load_ts, mode, emptied, spread).load_id
+
+
+class Load(NamedTuple):
+    """A load's number and what was counted while its rows were written, ``n_rows`` among it."""
+
+    load_id: int
+    totals: dict[str, int]
+
+
+def load_counted(
+    df: DataFrame,
+    table: str,
+    partition_by: str,
+    load_ts: datetime,
+    mode: str = "replace",
+    emptied: Sequence = (),
+    spread: bool = True,
+    totals: Mapping[str, Column] | None = None,
+    batch: tuple[str, int] | None = None,
+) -> Load:
+    """As ``load_partition``, with control totals: aggregates over the rows, taken by the tasks that write them.
+
+    ``batch`` names the source and number of a batch. The log keeps it, and a batch that it holds is not loaded
+    again: the load it had is returned, without totals.
+    """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     spark = df.sparkSession
     log = read_log(spark, table)
+    if batch is not None and (loaded := load_of_batch(log, *batch)) is not None:
+        return Load(loaded, {})
     newest, known = last_load(log)
     load_id, schema = newest + 1, agreed_schema(known, df.schema)
 
@@ -199,12 +228,20 @@ def load_partition(
         *(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema),
         slot_of(F.col(partition_by)).alias("slot"),
     )
-    (rows.hint("rebalance", "slot") if spread else rows).write.mode("overwrite").partitionBy("slot").parquet(target)
-    _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schema)
-    return load_id
+    counted = counting(rows.hint("rebalance", "slot") if spread else rows, totals)
+    counted.rows.write.mode("overwrite").partitionBy("slot").parquet(target)
+    found = counted.totals()
+    _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schema, not found["n_rows"], batch)
+    return Load(load_id, found)
+
+
+def load_of_batch(log: DataFrame, source: str, batch_id: int) -> int | None:
+    """The load that a batch of a source became, if it was loaded."""
+    found = log.where((F.col("source") == source) & (F.col("batch_id") == batch_id)).agg(F.max("load_id")).first()
+    return found[0]
 
 
-def _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schema) -> None:
+def _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schema, is_empty, batch) -> None:
     # counted from the files that were written; only the folder names are read
     written = spark.read.schema("slot string").parquet(target).groupBy("slot").agg(F.count(F.lit(1)).alias("n_rows"))
     if emptied:
@@ -221,13 +258,45 @@ def _write_log(spark, log, table, target, load_id, load_ts, mode, emptied, schem
     else:
         entry = F.lit("append")
     entries = written.select("slot", entry.alias("mode"), "n_rows")
-    if entries.isEmpty():  # the load keeps its number
+    if is_empty and not emptied:  # the load keeps its number
         entries = spark.range(1).selectExpr("cast(null as string) slot", "'append' mode", "0L n_rows")
+    source, batch_id = batch or (None, None)
     entries.select(
-        "*", timestamp_literal(load_ts).alias("load_ts"), F.lit(schema.json()).alias("columns")
+        "*",
+        timestamp_literal(load_ts).alias("load_ts"),
+        F.lit(schema.json()).alias("columns"),
+        F.lit(source).cast("string").alias("source"),
+        F.lit(batch_id).cast("long").alias("batch_id"),
     ).write.mode("overwrite").parquet(f"{table}/log/load_id={load_id}")
 
 
+def changes_between(spark: SparkSession, table: str, before: int, after: int) -> DataFrame:
+    """Rows that the table gained or lost between two loads: its columns, ``change`` and ``copies``.
+
+    Only folders that are part of one of the two states are read; what both hold cancels without being
+    read, so an append costs the appended rows. Rows are compared as multisets: ``added`` and ``removed`` say how
+    many more or fewer copies there are. Columns that the earlier state lacks are null in it.
+    """
+    log = read_log(spark, table)
+    _, schema = last_load(log_until(log, max(before, after)))
+    if schema is None:
+        raise ValueError(f"{table}: no load up to then")
+    states = [
+        visible_loads(log_until(log, load)).where(F.col("n_rows") > 0).select("load_id", "slot", F.lit(sign).alias("sign"))
+        for load, sign in ((before, -1), (after, 1))
+    ]
+    # a folder of both states has the signs -1 and 1
+    folders = states[0].unionByName(states[1]).groupBy("load_id", "slot").agg(F.sum("sign").alias("sign")).where("sign <> 0")
+    data = spark.read.schema(T.StructType([*schema.fields, *KEYS.fields])).parquet(f"{table}/data")
+    rows = data.join(F.broadcast(folders), ["load_id", "slot"])
+    counted = rows.groupBy(*(f"`{c}`" for c in schema.names)).agg(F.sum("sign").alias("surplus"))
+    return counted.where(F.col("surplus") != 0).select(
+        *(F.col(f"`{c}`") for c in schema.names),
+        F.when(F.col("surplus") > 0, "added").otherwise("removed").alias("change"),
+        F.abs("surplus").alias("copies"),
+    )
+
+
 def restore_partition(
     spark: SparkSession, table: str, partition_by: str, partition, load_id: int, load_ts: datetime
 ) -> int:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.functions.transforms import Ranged
+
 
 def write_table(
     df: DataFrame,
@@ -30,6 +32,11 @@ def daily_partition(df: DataFrame, timestamp: str, partition: str = "partition_d
     return df.withColumn(partition, F.to_date(F.col(timestamp)))
 
 
+def read_where(spark: SparkSession, path: str, wanted: Ranged) -> DataFrame:
+    """Rows of a table that meet a condition on a column whose transform it is partitioned by; other folders are not read."""
+    return spark.read.parquet(path).where(wanted.partitions).where(wanted.rows)
+
+
 def list_catalogs(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW CATALOGS")
 

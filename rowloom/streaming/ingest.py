@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.operators.ingest import tag_valid
+from rowloom.sources import lake
 
 
 def kafka_source(
@@ -63,3 +65,31 @@ def stream_split(
     return stream_ingest(
         tag_valid(stream, required), checkpoint, path, partition_by=["is_valid"], every=every
     )
+
+
+def stream_load(
+    stream: DataFrame,
+    table: str,
+    partition_by: str,
+    checkpoint: str,
+    load_ts: Callable[[int], datetime],
+    source: str,
+    mode: str = "append",
+    every: str | None = None,
+    after_load: Callable[[int, lake.Load], None] | None = None,
+) -> StreamingQuery:
+    """Load each micro-batch into a partitioned table, once, and return the running query.
+
+    A batch's rows become one load, whose log entry holds ``source`` and the batch's number. If the query ends between
+    the load and its own checkpoint, Spark repeats the batch after a restart; the log then holds it already,
+    and nothing is loaded. A batch that failed before its log entry is not visible and is written anew.
+    ``load_ts`` gives the time of a batch's load, and ``after_load`` is told of each load.
+    """
+
+    def load(rows: DataFrame, batch_id: int) -> None:
+        done = lake.load_counted(rows, table, partition_by, load_ts(batch_id), mode, batch=(source, batch_id))
+        if after_load is not None:
+            after_load(batch_id, done)
+
+    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
