@@ -31,10 +31,13 @@ from rowloom.llm.common import whole_text
 
 #: Pieces and seams that a worker keeps in mind; beyond that some are worked out again. No result depends on it.
 KEPT_PIECES, KEPT_SEAMS = 300_000, 300_000
+#: Letters of the longest piece that is kept.
+LONG_PIECE = 200
 #: Bytes of text that a task looks at together.
 PORTION = 1_000_000
 
 
+# The letters of byte-level vocabularies.
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for itself."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -77,6 +80,7 @@ class Codec:
         self.letters = byte_letters()
         self.valid: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.long: list[str] = []
 
     # --- words -------------------------------------------------------------------------------------
 
@@ -144,13 +148,15 @@ class Codec:
             parts[at : at + 2] = [self.merged[parts[at], parts[at + 1]][1]]
         return parts == [token]
 
-    def last_token(self, letters: str, states: list[int], tokens: dict[str, int], tails: set[str]) -> int:
-        """The last token of the encoding of ``letters``, given the states of all shorter prefixes.
+    def last_token(
+        self, letters: str, size: int, states: list[int], tokens: dict[str, int], tails: set[str]
+    ) -> int:
+        """The last token of the encoding of the first ``size`` letters, given the states of all shorter prefixes.
 
         Candidates are the tokens that end here; longer ends are looked at while some token has them.
         """
-        candidates, at = [], len(letters) - 1
-        while at >= 0 and (tail := letters[at:]) in tails:
+        candidates, at = [], size - 1
+        while at >= 0 and (tail := letters[at:size]) in tails:
             token = tokens.get(tail)
             if token is not None:
                 candidates.append((at, token))
@@ -158,7 +164,7 @@ class Codec:
         for before, token in reversed(candidates):
             if self.follows(states[before], token) if before else self.whole_cached(token):
                 return token
-        raise ValueError(f"no token ends {letters!r}")
+        raise ValueError(f"no token ends {letters[:size]!r}")
 
     def whole_cached(self, token: int) -> bool:
         known = self.valid.get((-1, token))
@@ -176,9 +182,9 @@ class Codec:
                 shared += 1  # up to the node where this word leaves the previous one
             del states[shared + 1 :]
             for size in range(shared + 1, len(spelled)):  # the last letter ends the word, it is no inner node
-                states.append(self.last_token(spelled[:size], states, self.inner, self.inner_tails))
+                states.append(self.last_token(spelled, size, states, self.inner, self.inner_tails))
             path = spelled[: len(states) - 1]
-            token = self.last_token(spelled, states, self.final, self.final_tails)
+            token = self.last_token(spelled, len(spelled), states, self.final, self.final_tails)
             ids, at = [token], len(spelled) - len(self.names[token]) + len(self.end)
             while at:
                 ids.append(states[at])
@@ -197,13 +203,17 @@ class Codec:
         if len(self.known) > KEPT_PIECES:  # what is frequent was met early, so the later half goes
             for late in list(self.known)[KEPT_PIECES // 2 :]:
                 del self.known[late]
+        for long in self.long:  # as long as a portion, perhaps: not kept, so that the count bounds the memory
+            self.known.pop(long, None)
+        self.long = []
         if len(self.valid) > KEPT_SEAMS:
             self.valid.clear()
         self.known |= {f" {name}": (i,) for name, i in self.special.items()}
         words = {p: self.word.findall(p) for p in set().union(*pieces).difference(self.known)}
         encoded = self.encode_words(set(chain.from_iterable(words.values())))
+        self.long = [p for p in words if len(p) > LONG_PIECE]
         for piece, own in words.items():
-            self.known[piece] = encoded[own[0]] if len(own) == 1 else sum((encoded[w] for w in own), ())
+            self.known[piece] = encoded[own[0]] if len(own) == 1 else tuple(chain.from_iterable(encoded[w] for w in own))
         get = self.known.__getitem__
         return [np.array(list(chain.from_iterable(map(get, p))), np.int32) for p in pieces]
 
