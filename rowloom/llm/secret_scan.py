@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import no_spans, spans_of, whole_text
 
-RULE_VERSION = "1.1"
+RULE_VERSION = "1.2"
 LEDGER = "blob string, rule_version string, spans array<struct<kind:string,start:int,end:int,found:string>>"
 
 # The base patterns and least lengths, then this operator's own, in the order of listing.
@@ -31,12 +31,13 @@ KEY_LINES = (
     rf"(?:[A-Za-z0-9+/=]{{16,}}+|[A-Za-z0-9+/=]{{1,15}}+[\x20\x09]{{0,}}+{LINE_END}"
     r"|[A-Za-z]{1,}+-[A-Za-z]{1,}+:[^\x0A\x0D\\]{0,}+)){0,}+"
 )
+# A web token's head has 8 to 1,000 characters, so that a long run of heads is not read to its end from each.
 RULES: list[tuple[str, str, int, int]] = [  # kind, pattern, group that must have the least length
     ("assign", ASSIGN, 1, 12),
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"(?<![0-9a-f])[0-9a-f]{16,}+", 0, 16),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}+", 0, 40),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 30),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,1000}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 30),
     ("pem", rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----(?:{KEY_BODY}|{KEY_LINES})", 0, 27),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}+", 0, 15),
     ("url", r"://[^\x00-\x20/:@]{0,}+:[^\x00-\x20/@]{1,}+@", 0, 6),
