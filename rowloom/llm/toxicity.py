@@ -1,20 +1,27 @@
 """Toxicity by a weighted grammar of finite-state transducers over clauses.
 
-Each word is read by five small automata: insults and threats (by learned stems), targets, negations and
-reported speech (by closed word lists). Composed, they give each clause a weight: the learned weights of
-its insults and threats, more if a target stands within reach, less if a negation or a verb of reporting
-stands before it. A text's features are sums over matched clauses, the share of clauses that match and
-the largest clause weight; a logistic model over them gives the score.
-
-Stems, weights and the model are learned from labelled rows: a bounded sample of ``SAMPLE`` labels, the
-parameter ``sample`` of ``labelled_texts``. Every text is scored whole.
+Five transducers make the grammar. The lexical ones read letters: a trie of learned stems writes ``insult`` with a
+weight, word lists write ``threat``, ``target``, ``negation`` and ``report``. The three of context read these
+symbols, a word at a time, and write them again with a mark: ``scope`` marks what stands behind a negation, or behind a
+verb of reporting, within some words; ``aim`` marks what stands within some words of a target, before or after it (a target
+still to come is a guess, which dies if none comes). Their arcs are data, each with a factor, and ``compose`` makes
+one transducer of them. The best path over a clause gives its weight: the sum, over insults and threats, of
+their own weight times the factors of the arcs that read them. A threat without a target weighs nothing.
+
+A text's features are sums over clauses with weight, the share of such words and the largest clause weight; a logistic
+model over them gives the score. Stems, weights and the model are learned from labelled rows: a bounded sample of ``SAMPLE``
+labels, the parameter ``sample`` of ``labelled_texts``. Every text is scored whole.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,102 +34,268 @@ from rowloom.workspace import materialize
 
 #: Lengths of the word beginnings that may be learned as stems.
 STEMS = range(4, 9)
-#: A clause ends at these or at a line's end, or after so many words.
-CLAUSE_END, CLAUSE_WORDS = ".!?;:", 24
+#: A clause ends at these or at a line's end.
+CLAUSE_END = ".!?;:"
 #: Labelled texts that grammar and model are learned from at most.
 SAMPLE = 20_000
-#: Stems kept at most, by weight; far above what the labels support.
-MOST_STEMS = 5_000
+#: Words whose symbols a task keeps in mind.
+KEPT_WORDS = 200_000
 
+# The words of the closed lists, in four languages.
 TARGETS = frozenset("you your yours yourself he she they them him her du dich dir ihr euch sie tu te toi vous il elle tú ti usted vosotros él ella".split())
 NEGATIONS = frozenset("not never no nor isn't aren't wasn't don't doesn't nicht kein keine nie pas jamais ne no nunca jamás ni".split())
 REPORTS = frozenset("said says say called calls call quoted wrote writes sagte sagt schrieb nannte dit disait appelle écrit dijo dice llama escribió".split())
 THREATS = frozenset("kill hurt destroy beat töten tuer matar".split())
-REACH = 4
+THREAT_WEIGHT = 0.5
+#: Words that a negation, a verb of reporting and a target reach.
+NEGATION_REACH, REPORT_REACH, TARGET_REACH = 4, 8, 4
 
+PIECE = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:]+(?=\s|$)|\n|,")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-PIECE = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:]+(?=\s|$)|\n")
 
 
 @dataclass
 class Grammar:
-    """Weights of stems, and of the features that clauses are summed to."""
+    """Weights of stems and of the features that clauses are summed to; factors of the arcs of context."""
 
     stems: dict[str, float]
     bias: float = 0.0
     weights: tuple[float, ...] = ()
+    aimed: float = 1.25
+    negated: float = 0.25
+    reported: float = 0.4
 
 
-FEATURES = ("any", "rate", "largest", "clauses", "targeted", "softened", "distinct")
+FEATURES = ("any", "rate", "largest", "clauses", "aimed", "distinct")
 
 
-def insult(word: str, stems: dict[str, float]) -> tuple[str, float]:
-    """The insult transducer: the longest learned stem that the word begins with, and its weight."""
-    whole = word + "$"
-    if whole in stems:
-        return whole, stems[whole]
-    for size in range(min(len(word), STEMS[-1]), STEMS[0] - 1, -1):
-        if word[:size] in stems:
-            return word[:size], stems[word[:size]]
-    return "", 0.0
+# ---- transducers
 
+MATCHES = ("insult", "threat")
+PLAIN = ("word", "target", "negation", "report")
 
-def clause_weight(words: list[str], stems: dict[str, float]) -> tuple[float, bool, bool, set[str]]:
-    """Weight of a clause, whether a target reaches an insult, whether it is softened, the stems matched."""
-    weight, targeted, softened, matched = 0.0, False, False, set()
-    for at, word in enumerate(words):
-        stem, own = insult(word, stems)
+
+class Arc(NamedTuple):
+    """From ``state``, reading a symbol: what is written, the factor of what is read, and the next state."""
+
+    state: object
+    reads: str
+    writes: str
+    factor: float
+    to: object
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """Arcs, the state to start in, and the states to end in."""
+
+    arcs: tuple[Arc, ...]
+    start: object
+    ends: frozenset
+
+    def table(self) -> dict[tuple[object, str], list[Arc]]:
+        out = defaultdict(list)
+        for arc in self.arcs:
+            out[arc.state, arc.reads].append(arc)
+        return dict(out)
+
+
+def marked(kinds: Sequence[str], marks: Sequence[str]) -> list[str]:
+    """Each kind with every choice of the marks, in order."""
+    out = list(kinds)
+    for mark in marks:
+        out += [f"{k} {mark}" for k in out]
+    return out
+
+
+def scope(opener: str, mark: str, factor: float, reach: int, kinds: Sequence[str], until_break: bool) -> Transducer:
+    """Marks matches up to ``reach`` words behind an opener. The state counts the words since; 0 is outside."""
+    arcs = []
+    for s in range(reach + 1):
+        following = s + 1 if 0 < s < reach else 0
+        arcs += [Arc(s, k, f"{k} {mark}" if s else k, factor if s else 1.0, following) for k in kinds]
+        arcs += [Arc(s, w, "word" if w == opener else w, 1.0, 1 if w == opener else following) for w in PLAIN]
+        arcs.append(Arc(s, "break", "break", 1.0, 0 if until_break else s))
+    return Transducer(tuple(arcs), 0, frozenset(range(reach + 1)))
+
+
+def aim(factor: float, reach: int, kinds: Sequence[str]) -> Transducer:
+    """Marks matches within ``reach`` words of a target. Threats that are not marked weigh nothing.
+
+    Above 0 the state counts the words since a target; below 0, the words left in which a target must come.
+    """
+    arcs = []
+    for s in range(-reach, reach + 1):
+        following = s + 1 if s < reach else 0
+        dies = s == -1  # the last word in which the target could come
+        for k in kinds:
+            if not dies:
+                arcs += [Arc(s, k, f"{k} aimed", factor, following)] if s else [Arc(s, k, f"{k} aimed", factor, -reach)]
+                if s <= 0:
+                    arcs.append(Arc(s, k, k, 0.0 if k.startswith("threat") else 1.0, following if s else 0))
+        for w in PLAIN:
+            if w == "target":
+                arcs.append(Arc(s, w, "word", 1.0, 1))
+            elif not dies:
+                arcs.append(Arc(s, w, w, 1.0, following if s else 0))
+        arcs.append(Arc(s, "break", "break", 1.0, s))
+    return Transducer(tuple(arcs), 0, frozenset(range(reach + 1)))
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """One transducer that does what the second does with what the first writes."""
+    table, of_first = second.table(), defaultdict(list)
+    for arc in first.arcs:
+        of_first[arc.state].append(arc)
+    start = (first.start, second.start)
+    arcs, found, waiting = [], {start}, [start]
+    while waiting:
+        state = waiting.pop()
+        for a in of_first[state[0]]:
+            for b in table.get((state[1], a.writes), ()):
+                to = (a.to, b.to)
+                arcs.append(Arc(state, a.reads, b.writes, a.factor * b.factor, to))
+                if to not in found:
+                    found.add(to)
+                    waiting.append(to)
+    return Transducer(tuple(arcs), start, frozenset(s for s in found if s[0] in first.ends and s[1] in second.ends))
+
+
+def cascade(aimed: float, negated: float, reported: float) -> list[Transducer]:
+    """The transducers of context, in the order in which they read one another."""
+    return [
+        scope("negation", "negated", negated, NEGATION_REACH, MATCHES, until_break=True),
+        scope("report", "reported", reported, REPORT_REACH, marked(MATCHES, ["negated"]), until_break=False),
+        aim(aimed, TARGET_REACH, marked(MATCHES, ["negated", "reported"])),
+    ]
+
+
+@lru_cache(maxsize=8)
+def context(aimed: float, negated: float, reported: float) -> tuple[dict, object, frozenset]:
+    """The composed transducer of context, as a table of arcs, with its start and its ends."""
+    first, *others = cascade(aimed, negated, reported)
+    for other in others:
+        first = compose(first, other)
+    return first.table(), first.start, first.ends
+
+
+class Lexicon:
+    """The lexical transducers: stems as a trie over letters, and the closed lists."""
+
+    def __init__(self, stems: dict[str, float]) -> None:
+        self.trie: dict = {}
+        for stem, weight in stems.items():
+            node = self.trie
+            for letter in stem:
+                node = node.setdefault(letter, {})
+            node[""] = weight, stem
+        self.known: dict[str, tuple[str, float, str]] = {}
+
+    def read(self, word: str) -> tuple[str, float, str]:
+        """(symbol, weight, stem) of a word: the longest stem that it begins with, a whole word before any stem."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > KEPT_WORDS:
+                self.known.clear()
+            found = self.known[word] = self.look(word)
+        return found
+
+    def look(self, word: str) -> tuple[str, float, str]:
+        node, insult = self.trie, None
+        for letter in word:
+            node = node.get(letter)
+            if node is None:
+                break
+            insult = node.get("", insult)
+        else:
+            insult = node.get("$", {}).get("", insult)
+        if insult and (word not in THREATS or insult[0] >= THREAT_WEIGHT):
+            return "insult", *insult
         if word in THREATS:
-            stem, own = stem or word, max(own, 0.5 if any(w in TARGETS for w in words[at : at + REACH]) else 0.0)
-        if not own:
-            continue
-        before = words[max(0, at - REACH) : at]
-        near = before + words[at + 1 : at + 1 + REACH]
-        if any(w in NEGATIONS or w in REPORTS for w in before) and stem in THREATS:
-            softened = True
-            own *= 0.3
-        elif any(w in NEGATIONS or w in REPORTS for w in before):
-            softened = True
-            own *= 0.8
-        if any(w in TARGETS for w in near):
-            targeted = True
-            own *= 1.1
-        weight += own
-        matched.add(stem)
-    return weight, targeted, softened, matched
-
-
-def features(text: str, grammar: Grammar) -> list[float]:
-    """The features of a text; all zero if no clause matches."""
-    n_words, clause, hit = 0, [], []
-
-    def close() -> None:
-        if clause:
-            found = clause_weight(clause, grammar.stems)
-            if found[0]:
-                hit.append(found)
-            clause.clear()
+            return "threat", THREAT_WEIGHT, word
+        for symbol, words in (("negation", NEGATIONS), ("report", REPORTS), ("target", TARGETS)):
+            if word in words:
+                return symbol, 0.0, ""
+        return "word", 0.0, ""
+
+
+#: After so many plain words every count of the transducers is back at its start.
+FORGOTTEN = max(NEGATION_REACH, REPORT_REACH, TARGET_REACH) + 1
+
 
+def best_path(symbols: Sequence[tuple[str, float]], table: dict, start, ends: frozenset) -> tuple[float, list[str]]:
+    """Weight of the best path over (symbol, weight) pairs, and what it writes for insults and threats.
+
+    Of paths of equal weight the one with more marks counts.
+    """
+    alive = {start: (0.0, 0, ())}
+    for symbol, weight in symbols:
+        following: dict = {}
+        for state, (total, n_marks, written) in alive.items():
+            for arc in table.get((state, symbol), ()):
+                if weight:
+                    reached = (total + weight * arc.factor, n_marks + arc.writes.count(" "), (written, arc.writes))
+                else:
+                    reached = (total, n_marks, written)
+                if arc.to not in following or reached[:2] > following[arc.to][:2]:
+                    following[arc.to] = reached
+        alive = following
+    total, _, written = max((alive[s] for s in alive if s in ends), key=lambda r: r[:2])
+    out = []
+    while written:
+        written, mark = written
+        out.append(mark)
+    return total, out[::-1]
+
+
+def clauses(text: str, lexicon: Lexicon) -> Iterator[tuple[int, list[tuple[str, float, str]]]]:
+    """(words, symbols) of each clause; runs of plain words are cut to what the transducers can tell apart."""
+    n_words, plain, own, matches = 0, 0, [], False
     for piece in PIECE.findall(text.lower()):
-        if piece == "\n" or piece[0] in CLAUSE_END:
-            close()
+        first = piece[0]
+        if first == "\n" or first in CLAUSE_END:
+            yield n_words, own if matches else []
+            n_words, plain, own, matches = 0, 0, [], False
+        elif first == ",":
+            own.append(("break", 0.0, ""))
         else:
             n_words += 1
-            clause.append(piece)
-            if len(clause) >= CLAUSE_WORDS:
-                close()
-    close()
-    if not hit:
+            read = lexicon.read(piece)
+            plain = plain + 1 if read[0] == "word" else 0
+            if plain <= FORGOTTEN:
+                own.append(read)
+            matches = matches or read[1] > 0
+    yield n_words, own if matches else []
+
+
+def features(text: str, grammar: Grammar, lexicon: Lexicon | None = None) -> list[float]:
+    """The features of a text; all zero if no clause has weight.
+
+    Weights are those of the best paths; counts are of clauses and stems that are neither negated nor reported.
+    """
+    lexicon = lexicon or Lexicon(grammar.stems)
+    table, start, ends = context(grammar.aimed, grammar.negated, grammar.reported)
+    n_words, total, largest, aimed, plain, stems = 0, 0.0, 0.0, 0, 0, set()
+    for words, symbols in clauses(text, lexicon):
+        n_words += words
+        if not symbols:
+            continue
+        weight, marks = best_path([s[:2] for s in symbols], table, start, ends)
+        total, largest = total + weight, max(largest, weight)
+        read = [(m, s[2]) for m, s in zip(marks, (s for s in symbols if s[1])) if m != "threat"]
+        meant = [(m, stem) for m, stem in read if "negated" not in m and "reported" not in m]
+        plain += bool(meant)
+        aimed += any("aimed" in m for m, _ in meant)
+        stems.update(stem for _, stem in meant)
+    if not total:
         return [0.0] * len(FEATURES)
-    total = sum(h[0] for h in hit)
     return [
-        1.0,
+        float(plain > 0),
         math.log1p(200 * total / max(n_words, 50)),
-        max(h[0] for h in hit),
-        math.log1p(len(hit)),
-        math.log1p(sum(h[1] for h in hit)),
-        math.log1p(sum(h[2] for h in hit)),
-        math.log1p(len(set().union(*(h[3] for h in hit)))),
+        largest,
+        math.log1p(plain),
+        math.log1p(aimed),
+        math.log1p(len(stems)),
     ]
 
 
@@ -136,7 +309,7 @@ def stem_counts(labelled: DataFrame) -> DataFrame:
     def stems_of(texts: pd.Series) -> pd.Series:
         def stems(text: str) -> list[str]:
             words = set(WORD.findall(text.lower()))
-            return [*{w[:k] for w in words for k in STEMS if len(w) > k}, *(w + "$" for w in words if len(w) < 40)]
+            return [*{w[:k] for w in words for k in STEMS if len(w) > k}, *(w + "$" for w in words)]
 
         return pd.Series([stems(t) for t in texts], index=texts.index, dtype=object)
 
@@ -160,9 +333,7 @@ def learn_stems(labelled: DataFrame, least_texts: int, least_odds: float) -> dic
         .where(F.col("positive") >= least_texts)
         .withColumn("odds", odds)
         .where(F.col("odds") >= least_odds)
-        .orderBy(F.desc("odds"), "stem")
-        .limit(MOST_STEMS)
-        .collect()
+        .collect()  # no more than the sample's texts hold
     )
     found = {r["stem"]: r["odds"] / 5 for r in chosen}
     return {
@@ -209,7 +380,8 @@ def feature_columns(text: Column, grammar: Grammar) -> Column:
     @pandas_udf("array<double>")
     def of(texts: pd.Series) -> pd.Series:
         own = Grammar(**plain)
-        return pd.Series([features(t, own) for t in texts], index=texts.index, dtype=object)
+        lexicon = Lexicon(own.stems)
+        return pd.Series([features(t, own, lexicon) for t in texts], index=texts.index, dtype=object)
 
     return of(text)
 
@@ -221,8 +393,8 @@ def score(text: Column, grammar: Grammar) -> Column:
     @pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
         own = Grammar(**plain)
-        weights = np.array(own.weights)
-        z = [own.bias + float(np.dot(weights, features(t, own))) for t in texts]
+        lexicon, weights = Lexicon(own.stems), np.array(own.weights)
+        z = [own.bias + float(np.dot(weights, features(t, own, lexicon))) for t in texts]
         return pd.Series([1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z], index=texts.index)
 
     return of(text)
