@@ -9,10 +9,15 @@ A mask selects the equal words of such a pattern and ignores the others; the has
 seed. Seeds of all benchmark items are joined with the seeds at every word of every document, hits that are no
 such opening are left out, and the best stretch of each alignment that is left decides. Everything is columns
 and joins.
+
+Words stand in the seed tables as 32-bit hashes: a row has a text's address, a place, a seed and the hashes of the next
+words, whatever the length of the text. Only alignments that are left meet the words themselves, once each.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +30,10 @@ WEIGHT = 4
 OPENING = 13
 #: The masks that the SQL version seeks by; they miss some stretches, ``opening_masks`` none.
 MASKS = ["110110011011", "101111001101", "111001110011"]
-#: Seed tables of up to this many rows (16 bytes and a hash entry each) are broadcast, larger ones shuffled.
-BROADCAST_SEEDS = 500_000
+#: Tables of up to so many rows of fixed size (some 100 bytes each), and items of up to so many bytes, are broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 300_000, 32 << 20
+#: Places of a text that share a row before they are taken apart.
+BLOCK = 256
 
 
 def words_of(text: Column) -> Column:
@@ -34,9 +41,9 @@ def words_of(text: Column) -> Column:
     return words_between(F.lower(text), NOT_WORD)
 
 
-def seed(words: Column, at: Column, mask: str) -> Column:
-    """Hash of the words from ``at`` (from 0) that the mask selects."""
-    return F.xxhash64(F.lit(mask), *[F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"])
+def seed(hashes: Column, at: Column, mask: str) -> Column:
+    """Hash of the words from ``at`` (from 0) that the mask selects, given the words' hashes."""
+    return F.xxhash64(F.lit(mask), *[F.get(hashes, at + i) for i, bit in enumerate(mask) if bit == "1"])
 
 
 def opening_masks(weight: int) -> list[str]:
@@ -51,16 +58,29 @@ def opening_masks(weight: int) -> list[str]:
     return sorted(found)
 
 
-def seeds(table: DataFrame, masks: list[str]) -> DataFrame:
-    """Columns of ``table`` (with ``words``), ``at`` and ``seed``: every mask at every place where it fits."""
+def seeds(table: DataFrame, name: str, masks: list[str]) -> DataFrame:
+    """(name, at, seed, block, place): every mask at every place of ``words`` where it fits.
+
+    ``block`` holds the hashes of the words around, ``place`` the place's number in it. The text is cut into
+    blocks first, so that taking places apart copies a block each time and not the text.
+    """
     shortest = min(map(len, masks))
-    placed = table.where(F.size("words") >= shortest).select(
-        "*", F.explode(F.sequence(F.lit(0), F.size("words") - shortest)).alias("at")
+    hashed = table.where(F.size("words") >= shortest).select(
+        name, F.transform("words", lambda w: F.hash(w)).alias("hashes")
+    )
+    blocks = hashed.select(
+        name, "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1, F.lit(BLOCK))).alias("start")
+    ).select(
+        name,
+        "start",
+        F.slice("hashes", F.col("start") + 1, BLOCK + OPENING).alias("block"),
+        F.least(F.lit(BLOCK), F.size("hashes") - F.col("start")).alias("own"),
     )
-    each = [F.when(F.size("words") - F.col("at") >= len(m), seed(F.col("words"), F.col("at"), m)) for m in masks]
-    if len(each) == 1:
-        return placed.withColumn("seed", each[0]).where("seed is not null")
-    return placed.select("*", F.explode(F.array(*each)).alias("seed")).where("seed is not null")
+    placed = blocks.select(name, "start", "block", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("place"))
+    fits = lambda m: F.size("block") - F.col("place") >= len(m)
+    each = F.explode(F.array(*(F.when(fits(m), seed(F.col("block"), F.col("place"), m)) for m in masks)))
+    found = placed.select(name, (F.col("start") + F.col("place")).alias("at"), each.alias("seed"), "block", "place")
+    return found.where("seed is not null")
 
 
 def best_stretch(equal: Column) -> Column:
@@ -118,48 +138,55 @@ def overlaps(
     items = (
         benchmark.select(F.col(item_id).alias("item_id"), words_of(whole_text(item_text)).alias("words"))
         .where(F.size("words") > 0)
+        .withColumn("item", F.unhex(F.sha2(F.array_join("words", " "), 256)))
         .withColumn("enough", F.greatest(enough, F.lit(1)))
         .withColumn("weight", F.least("enough", F.lit(WEIGHT)))
     )
-    weights = sorted(r["weight"] for r in items.select("weight").distinct().collect())  # at most WEIGHT rows
-    seeded = items.select(F.lit(0).cast("long").alias("seed"), "item_id", F.lit(0).alias("item_at"), "enough", F.col("words").alias("item")).limit(0)
-    for w in weights:
-        own = seeds(items.where(F.col("weight") == w), opening_masks(w))
-        seeded = seeded.union(own.select("seed", "item_id", F.col("at").alias("item_at"), "enough", "words"))
-    seeded = materialize(seeded)
-    keys = seeded.select("seed").distinct()
-    n_keys = keys.count()
-    bounded = n_keys <= BROADCAST_SEEDS
-
-    name = F.sha2(whole_text(text_column), 256) if by_text else F.col(id_column)
-    texts = docs.select(name.alias("doc_id"), words_of(whole_text(text_column)).alias("words"))
+    known = materialize(items.select("item", "words", "enough", "weight").dropDuplicates(["item"]))
+    weights = sorted(r["weight"] for r in known.select("weight").distinct().collect())  # at most WEIGHT rows
+    ahead = F.slice("block", F.col("place") + 1, OPENING).alias("ahead")
+    own = [
+        seeds(known.where(F.col("weight") == w), "item", opening_masks(w)).select(
+            "seed", "item", F.col("at").alias("item_at"), ahead
+        )
+        for w in weights or [WEIGHT]
+    ]
+    seeded = materialize(
+        reduce(DataFrame.unionByName, own)
+        .withColumnRenamed("ahead", "item_ahead")
+        .join(known.select("item", "enough"), "item")
+        .distinct()
+    )
+    text = whole_text(text_column)
+    address = F.unhex(F.sha2(text, 256))
     masks = [mask for w in weights for mask in opening_masks(w)] or opening_masks(WEIGHT)
-    places = seeds(texts, masks)
-    hits = places.join(F.broadcast(keys) if bounded else keys, "seed", "left_semi")
-    met = hits.join(F.broadcast(seeded) if bounded else seeded, "seed")
-
-    def equal(i: int) -> Column:
-        return F.coalesce(F.get("words", F.col("at") + i) == F.get("item", F.col("item_at") + i), F.lit(False))
-
-    # the hits where a stretch can open: after a word that is not equal, and with points all along
-    counted = F.least(F.col("enough"), F.lit(OPENING))
-    points = sum((F.when(equal(i) & (counted > i), 1).otherwise(0) for i in range(OPENING)), F.lit(0))
-    met = met.where(~equal(-1)).where(points * 2 > counted)
+    places = seeds(docs.select(address.alias("address"), words_of(text).alias("words")), "address", masks)
+    hits = materialize(_alignments(places, seeded))
+
+    n_bytes = known.agg(F.sum(F.octet_length(F.array_join("words", " ")) + 16 * F.size("words"))).first()[0] or 0
+    bounded = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    name = F.sha2(text, 256) if by_text else F.col(id_column)
+    named = docs.select(name.alias("doc_id"), text.alias("whole"), address.alias("address"))
+    lengthy = known.select("item", F.col("words").alias("item_words"), "enough")
+    met = (
+        named.join(bounded(hits), "address")
+        .join(F.broadcast(lengthy) if n_bytes <= BROADCAST_BYTES else lengthy, "item")
+        .withColumn("words", words_of(F.col("whole")))
+    )
+    ids = items.select("item", "item_id").distinct()
 
     # the aligned part: item word i stands beside document word i + shift
-    shift = F.col("at") - F.col("item_at")
     begin = F.greatest(F.lit(0), -F.col("shift"))
-    length = F.least(F.size("item") - F.col("begin"), F.size("words") - F.col("shift") - F.col("begin"))
+    length = F.least(F.size("item_words") - F.col("begin"), F.size("words") - F.col("shift") - F.col("begin"))
     aligned = (
-        met.withColumn("shift", shift)
-        .withColumn("begin", begin)
+        met.withColumn("begin", begin)
         .withColumn("length", length)
         .withColumn(
             "best",
             best_stretch(
                 F.transform(
                     F.arrays_zip(
-                        F.slice("item", F.col("begin") + 1, F.col("length")).alias("a"),
+                        F.slice("item_words", F.col("begin") + 1, F.col("length")).alias("a"),
                         F.slice("words", F.col("begin") + F.col("shift") + 1, F.col("length")).alias("b"),
                     ),
                     lambda z: z["a"] == z["b"],
@@ -169,6 +196,7 @@ def overlaps(
     )
     return (
         aligned.where(F.col("best.score") >= F.col("enough"))
+        .join(bounded(ids), "item")
         .select(
             "doc_id",
             "item_id",
@@ -181,8 +209,30 @@ def overlaps(
     )
 
 
+def _alignments(places: DataFrame, seeded: DataFrame) -> DataFrame:
+    """(address, item, shift) where seeds meet and a stretch can open: with points all along, by the words' hashes.
+
+    Equal words have equal hashes, so none is lost. Each alignment is listed once, however many openings it has.
+    """
+    if seeded.count() <= BROADCAST_ROWS:
+        met = places.join(F.broadcast(seeded), "seed")
+        word = lambda i: F.get("block", F.col("place") + i)
+    else:  # rows of fixed size meet by seed
+        light = places.select("address", "at", "seed", F.slice("block", F.col("place") + 1, OPENING).alias("ahead"))
+        met = light.join(seeded, "seed")
+        word = lambda i: F.get("ahead", F.lit(i))
+    counted = F.least(F.col("enough"), F.lit(OPENING))
+    equal = lambda i: F.coalesce(word(i) == F.get("item_ahead", F.lit(i)), F.lit(False))
+    points = sum((F.when(equal(i) & (counted > i), 1).otherwise(0) for i in range(OPENING)), F.lit(0))
+    opens = met.where(points * 2 > counted)
+    return opens.select("address", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text", **parameters) -> DataFrame:
     """``docs`` without the rows whose text holds a leaked stretch, whatever their ids."""
     found = overlaps(docs, benchmark, text_column=text_column, by_text=True, **parameters)
-    leaked = materialize(found.select(F.col("doc_id").alias("leaked")).distinct())
-    return docs.join(leaked, F.sha2(whole_text(text_column), 256) == F.col("leaked"), "left_anti")
+    name = "leaked"
+    while name in docs.columns:
+        name += "_"
+    leaked = materialize(found.select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(leaked, F.sha2(whole_text(text_column), 256) == F.col(name), "left_anti")

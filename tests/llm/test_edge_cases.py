@@ -290,7 +290,8 @@ def test_decontamination(spark, odd, benchmark):
 
 @pytest.mark.parametrize("broadcast", [500_000, 0])
 def test_substitutions_are_found(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", broadcast)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", broadcast)
     rng = random.Random(13)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     items = [[word() for _ in range(40)] for _ in range(20)]
