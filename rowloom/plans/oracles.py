@@ -710,3 +710,5 @@ SELECT {EVENT_COLUMNS}, CASE WHEN n > 0 THEN 'added' ELSE 'removed' END AS chang
 FROM summed WHERE n <> 0"""
 
 ORACLES["stream_load"] = f"WITH {LOADS} SELECT {EVENT_COLUMNS} FROM daily"
+
+ORACLES["stream_repair"] = ORACLES["ingest_next_day"]

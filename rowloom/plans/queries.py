@@ -18,6 +18,7 @@ from rowloom.plans import jobs
 from rowloom.plans import testbed as tb
 from rowloom.sources import delimited, lake, tables
 from rowloom.streaming import ingest as streaming
+from rowloom.streaming import repair as stream_repairs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -985,3 +986,22 @@ def stream_load(spark, sf_dir):
         pass
     start().awaitTermination()
     return _text(lake.read_as_of(spark, f"{folder}/table"), "event_date")
+
+
+@query
+def stream_repair(spark, sf_dir):
+    """Two landings, one micro-batch each; what is valid and what is held after the second."""
+    folder, orders = workspace.scratch_path(spark, "stream"), tb.table(spark, sf_dir, "orders")
+    days = [datetime(2024, 5, 1), datetime(2024, 5, 2)]
+    landed = lambda day: F.to_timestamp(F.lit(str(day))).alias("landed")
+    landings = [tb.landing(orders, 4, 6), tb.landing_today(orders)]
+    schema = landings[0].select("*", landed(days[0])).schema
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/landing/*")
+    repaired = stream_repairs.stream_repair(stream, SALE_KEY, REQUIRED, "landed")
+    for n, (day, rows) in enumerate(zip(days, landings)):
+        rows.select("*", landed(day)).write.parquet(f"{folder}/landing/{n}")
+        streaming.stream_ingest(repaired, f"{folder}/checkpoint", f"{folder}/rows").awaitTermination()
+    rows = spark.read.schema(repaired.schema).parquet(f"{folder}/rows")
+    valid = rows.where(F.col("is_valid") & (F.col("landed") == F.to_timestamp(F.lit(str(days[1]))))).drop("is_valid")
+    parts = [valid.withColumn("part", F.lit("valid")), stream_repairs.still_held(rows, SALE_KEY, "landed").withColumn("part", F.lit("hold"))]
+    return _text(parts[0].unionByName(parts[1]).drop("landed"), "Quantity_Sold")
