@@ -9,7 +9,7 @@ from __future__ import annotations
 import string
 
 from rowloom.llm.decontaminate import MASKS
-from rowloom.llm.licenses import BLOCK, STEP, TEMPLATES
+from rowloom.llm.licenses import TEMPLATES
 from rowloom.llm.quality import RULES as QUALITY_RULES
 from rowloom.llm.secret_scan import BASE, RULES
 
@@ -34,12 +34,12 @@ def crc_table() -> list[int]:
 
 
 TEMPLATE_ROWS = ",\n    ".join(
-    f"({i}, '{t.label}', {str(t.is_phrase).lower()}, {quoted(sorted(t.tokens))}, {quoted(t.words.split())}, {t.needed})"
+    f"({i}, '{t.label}', {str(t.is_phrase).lower()}, {quoted(sorted(t.tokens))}, {quoted(t.words.split())}, {t.needed}, {t.step})"
     for i, t in enumerate(TEMPLATES)
 )
 
 LICENSES = f"""
-WITH templates(number, label, is_phrase, tokens, words, needed) AS (VALUES
+WITH templates(number, label, is_phrase, tokens, words, needed, step) AS (VALUES
     {TEMPLATE_ROWS}),
 texts AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -47,11 +47,12 @@ texts AS (
                      lambda w: w <> '') AS words
   FROM documents),
 blocks AS (
-  SELECT r, list_distinct(words[b * {STEP} + 1 : b * {STEP} + {BLOCK}]) AS tokens
-  FROM (SELECT r, words, unnest(range(0, greatest((len(words) - 1) // {STEP}, 0) + 1)) AS b FROM texts)),
+  SELECT r, step, list_distinct(words[b * step + 1 : b * step + 2 * step]) AS tokens
+  FROM (SELECT r, words, step, unnest(range(0, greatest((len(words) - 1) // step, 0) + 1)) AS b
+        FROM texts, (SELECT DISTINCT step FROM templates))),
 matched AS (
   SELECT r, label, is_phrase, len(list_intersect(b.tokens, t.tokens)) / len(t.tokens)::DOUBLE AS containment
-  FROM blocks b, templates t
+  FROM blocks b JOIN templates t ON b.step = t.step
   WHERE len(list_intersect(b.tokens, t.tokens)) >= t.needed),
 starts AS (
   SELECT r, t.label, t.words AS phrase, x.words, unnest(range(0, len(x.words))) AS w

@@ -39,13 +39,13 @@ def license_places(text: str, phrases: dict[str, str]) -> tuple[int, list[tuple[
     return len(words), found
 
 
-def license_matches(text: str, templates, block: int = 64, step: int = 32) -> set[tuple[str, int, float]]:
-    """Every template against every block."""
+def license_matches(text: str, templates) -> set[tuple[str, int, float]]:
+    """Every template against every block of its step."""
     words = WORD.findall(ascii_lower(text))
     found = set()
-    for b in range(max((len(words) - 1) // step, 0) + 1):
-        have = set(words[b * step : b * step + block])
-        for t in templates:
+    for t in templates:
+        for b in range(max((len(words) - 1) // t.step, 0) + 1):
+            have = set(words[b * t.step : b * t.step + 2 * t.step])
             share = len(have & t.tokens) / len(t.tokens)
             if len(have & t.tokens) >= t.needed:
                 found.add((t.label, b, share))

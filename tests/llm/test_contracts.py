@@ -58,7 +58,7 @@ def test_licenses(spark, texts):
         assert (r["first_word"], r["last_word"]) == (min(starts, default=None), max(starts, default=None))
         assert r["base_labels"] == ",".join(sorted({label for label, _ in places}))
         labels = {label for label, _ in places}
-        labels |= {label for label, _, _ in brute.license_matches(text, licenses.NOTICES)}
+        labels |= {label for label, _, _ in brute.license_matches(text, licenses.NOTICES + licenses.WHOLE)}
         assert r["labels"] == ",".join(sorted(labels))
 
 
