@@ -76,7 +76,7 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    findings, _ = secret_scan.scan_versions(table(spark, sf_dir, "documents"))
+    findings = secret_scan.scan_into_ledger(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
     base = F.filter("spans", lambda s: s["kind"].isin(secret_scan.BASE))
     return findings.select(
         F.col("path").alias("doc_id"),

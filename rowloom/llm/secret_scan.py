@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import no_spans, spans_of, whole_text
@@ -113,12 +113,47 @@ def scan_versions(
         .dropDuplicates(["blob"])
         .select("blob", F.lit(rule_version).alias("rule_version"), "spans")
     )
+    return _beside_paths(paths, known_hits(scanned, ledger, rule_version)), scanned
+
+
+def _beside_paths(paths: DataFrame, hits: DataFrame) -> DataFrame:
+    """Every path with the findings of its blob."""
     # as a struct the address is shuffled anew, so that the partition of a blob with very many paths can be split
-    hits = known_hits(scanned, ledger, rule_version).select(F.struct("blob").alias("hit"), "spans")
-    findings = paths.join(hits, F.struct("blob") == F.col("hit"), "left").select(
+    found = hits.select(F.struct("blob").alias("hit"), "spans")
+    return paths.join(found, F.struct("blob") == F.col("hit"), "left").select(
         "path", "blob", F.coalesce("spans", no_spans()).alias("spans")
     )
-    return findings, scanned
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger written at a path; empty if none was."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+        return spark.read.schema(LEDGER).parquet(path)
+    return spark.createDataFrame([], LEDGER)
+
+
+def scan_into_ledger(
+    versions: DataFrame,
+    ledger_path: str,
+    *,
+    path_column: str = "doc_id",
+    text_column: str = "text",
+    rule_version: str = RULE_VERSION,
+) -> DataFrame:
+    """Findings per version, (path, blob, spans), after the ledger was brought up to date.
+
+    Blobs that the ledger at ``ledger_path`` lacks under this rule version are scanned and appended to it in one write, which
+    is visible as a whole or not at all; findings come from the ledger alone. A scan that was broken off is
+    made again by the next call. Rows and cases are those of ``scan_versions``.
+    """
+    spark = versions.sparkSession
+    names = {"path_column": path_column, "text_column": text_column, "rule_version": rule_version}
+    _, unseen = scan_versions(versions, read_ledger(spark, ledger_path), **names)
+    unseen.write.mode("append").parquet(ledger_path)
+    paths = versions.select(F.col(path_column).alias("path"), F.sha2(whole_text(text_column), 256).alias("blob"))
+    ledger = read_ledger(spark, ledger_path)
+    return _beside_paths(paths, known_hits(ledger.where(F.col("rule_version") == rule_version), None, rule_version))
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
