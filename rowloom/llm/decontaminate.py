@@ -132,7 +132,9 @@ def overlaps(
     words match nothing, nor does null text. Null ids are kept. A passage that
     stands in a document several times is listed at each place; repeated rows of documents or items give
     repeated results, merged where all columns are equal. With ``by_text`` the document is named by the
-    SHA-256 of its text instead of its id.
+    SHA-256 of its text instead of its id. Of stretches of an alignment with equal scores the first counts. Empty
+    tables on either side give no rows. A very long text is cut into blocks before its places are taken apart, so
+    time and memory grow with its length.
     """
     enough = F.least(F.lit(min_score), F.ceil(F.lit(min_share) * F.size("words")).cast("int"))
     items = (

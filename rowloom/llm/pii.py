@@ -131,7 +131,9 @@ def find_personal_data(
 
     ``found`` of a term span is ``remove`` or ``generalise``. Null and empty texts have no spans; repeated
     rows are rows of their own; null ids stay null. Terms under ``term_length`` letters reveal nothing.
-    Texts without a base span are only matched and counted; the others are written once.
+    Texts without a base span are only matched and counted; the others are written once. A ratio equal to the threshold
+    counts as over it; an empty table gives no rows. A text of very many addresses and terms takes time with the
+    product of both numbers, as every entity meets every term of its text there.
     """
     base = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
     spans = base_spans(F.col("text"))

@@ -146,7 +146,9 @@ def apply_rules(
     A null or empty text has no words, so it fails the base. A null stratum is a stratum of its own. All
     labelled documents serve as holdout (the cutoffs tested are fixed beforehand); null labels are left
     out, a document with several labels counts with each. Without labels only the base rules apply. The
-    measures are written once; the texts are read once and not shuffled.
+    measures are written once; the texts are read once and not shuffled. Repeated rows are rows of their own and
+    values equal to a cutoff pass it; an empty table gives no rows. A very long text is measured within its row, in
+    time and memory that grow with its length.
     """
     measured = materialize(
         docs.select(

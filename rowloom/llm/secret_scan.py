@@ -92,7 +92,9 @@ def scan_versions(
     rule_version, spans) of the blobs scanned now, to be appended to ``ledger``. Null texts are empty
     blobs, repeated rows are rows of one blob, a null path is kept. The smallest path of a blob brings
     its text to the scan, so a text travels once however many paths share it. Both tables are lazy: a
-    caller who uses both writes the ledger's rows first and hands them back as ``ledger``.
+    caller who uses both writes the ledger's rows first and hands them back as ``ledger``. Findings that start
+    together are listed in the order of the rules; an empty table gives no rows. A very long text is matched within its
+    row, each rule in time that grows with its length.
     """
     addressed = versions.select(
         F.col(path_column).alias("path"),

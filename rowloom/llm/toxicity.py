@@ -387,7 +387,10 @@ def feature_columns(text: Column, grammar: Grammar) -> Column:
 
 
 def score(text: Column, grammar: Grammar) -> Column:
-    """Probability of label 1. Null must be made empty before; an empty text has no clause and the lowest score."""
+    """Probability of label 1. Null must be made empty before; an empty text has no clause and the lowest score.
+
+    Equal texts have equal scores; an empty table has none. A very long text takes time in proportion to its length.
+    """
     plain = asdict(grammar)
 
     @pandas_udf("double")
