@@ -148,7 +148,8 @@ def terms(text: str) -> str:
     return f"list_distinct(list_transform(regexp_extract_all({text}, '{TERM}'), lambda x: lower(x)))"
 
 
-BLANKED = "list_reduce(list_prepend(t, any_value(list_transform(base, lambda s: s.found))), lambda a, f: replace(a, f, ' '))"
+BLANKED = """array_to_string(list_transform(string_split(t, ''), lambda c, i:
+  CASE WHEN len(list_filter(any_value(base), lambda b: b.start < i AND i <= b.stop)) > 0 THEN chr(10) ELSE c END), '')"""
 PERSONAL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 found AS (SELECT r, doc_id, t, {PERSONAL_COLUMNS} FROM d),

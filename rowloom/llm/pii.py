@@ -10,6 +10,8 @@ hold the entity; all other documents stay as they are. Everything is columns and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +59,10 @@ def small_part(part: Column) -> Column:
     return (F.length(short) <= 3) & (F.substring(short, 1, 3).cast("int") <= 255)
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """Spans of each kind that pass its check."""
+def base_rules() -> dict[str, tuple[str, str, Callable[[Column], Column]]]:
+    """Per kind: the pattern, a cheaper one that every match holds, and the check that a match must pass."""
     card_size = lambda s: F.length(digits_of(s["found"]))
-    checks = {
+    return {
         "email": (EMAIL, "@[A-Za-z0-9-]++\\.[A-Za-z0-9-]", lambda s: F.lit(True)),
         "ip": (IP, r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", lambda s: F.forall(F.split(s["found"], r"\."), small_part)),
         "card": (
@@ -70,12 +72,39 @@ def base_spans(text: Column) -> dict[str, Column]:
         ),
         "phone": (PHONE, r"\+[0-9]", lambda s: card_size(s).between(9, 15)),
     }
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    """Spans of each kind that pass its check."""
     return {
         kind: F.when(text.rlike(hint), F.filter(spans_of(text, pattern, kind), check)).otherwise(no_spans())
-        for kind, (pattern, hint, check) in checks.items()
+        for kind, (pattern, hint, check) in base_rules().items()
     }
 
 
+def without_base(text: Column) -> Column:
+    """``text`` with a line feed for each base span, one kind after the other; no span holds one, so none is made anew.
+
+    Where spans of two kinds overlap, only characters of which no term can start are left of the second.
+    """
+    for pattern, _, check in base_rules().values():
+        text = _replaced(text, pattern, check)
+    return text
+
+
+def _replaced(text: Column, pattern: str, check: Callable[[Column], Column]) -> Column:
+    """``text`` with a line feed for each match of ``pattern`` that passes the check."""
+    parts = F.arrays_zip(
+        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
+    )
+
+    def kept(part: Column) -> Column:
+        found = F.when(part["found"].isNull(), "").when(check(part), "\n").otherwise(part["found"])
+        return F.concat(F.coalesce(part["gap"], F.lit("")), found)
+
+    return F.array_join(F.transform(parts, kept), "")
+
+
 def terms_of(text: Column) -> Column:
     """Distinct lower-case terms."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
@@ -86,20 +115,30 @@ def disclosures(
 ) -> DataFrame:
     """(entity, term, n_both, ratio): terms that reveal an entity.
 
-    ``held`` has one row per distinct text with entities: ``entities`` (distinct), ``terms`` (distinct,
+    ``held`` has one row per distinct text with entities: ``key``, ``entities`` (distinct), ``terms`` (distinct,
     without those inside a base span) and ``copies``. Copies count as documents, but a term must stand
     beside the entity in ``least_texts`` different texts. Terms are counted over all documents.
+
+    Entities and terms that stand in fewer texts at all are left out first, so a text pairs only what can count.
     """
+    owned = held.select("key", "copies", F.explode("entities").alias("entity"))
+    entities = materialize(
+        owned.groupBy("entity")
+        .agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts"))
+        .where(F.col("texts") >= least_texts)
+    )
+    bounded = lambda df: F.broadcast(df) if df.count() <= BROADCAST_TERMS else df
+    owners = materialize(owned.join(bounded(entities.select("entity")), "entity", "left_semi"))
+    beside = held.join(owners.select("key").distinct(), "key", "left_semi").select("key", F.explode("terms").alias("term"))
+    often = beside.groupBy("term").agg(F.count("*").alias("texts")).where(F.col("texts") >= least_texts)
+    spoken = beside.join(often.select("term"), "term", "left_semi")
     pairs = materialize(
-        held.select("copies", "terms", F.explode("entities").alias("entity"))
-        .select("copies", "entity", F.explode("terms").alias("term"))
+        owners.select(F.struct("key").alias("of"), "copies", "entity")
+        .join(spoken.select(F.struct("key").alias("of"), "term"), "of")
         .groupBy("entity", "term")
         .agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
         .where(F.col("texts") >= least_texts)
     )
-    entities = (
-        held.select("copies", F.explode("entities").alias("entity")).groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    )
     candidates = materialize(pairs.select("term").distinct())
     few = candidates.count() <= BROADCAST_TERMS
     words = docs.select(F.explode(terms_of(whole_text(text_column))).alias("term"))
@@ -132,8 +171,8 @@ def find_personal_data(
     ``found`` of a term span is ``remove`` or ``generalise``. Null and empty texts have no spans; repeated
     rows are rows of their own; null ids stay null. Terms under ``term_length`` letters reveal nothing.
     Texts without a base span are only matched and counted; the others are written once. A ratio equal to the threshold
-    counts as over it; an empty table gives no rows. A text of very many addresses and terms takes time with the
-    product of both numbers, as every entity meets every term of its text there.
+    counts as over it; an empty table gives no rows. Of a text with very many addresses and terms only those that stand in
+    ``least_texts`` texts meet.
     """
     base = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
     spans = base_spans(F.col("text"))
@@ -151,7 +190,7 @@ def find_personal_data(
             "key",
             "copies",
             entities.alias("entities"),
-            F.filter(terms_of(without(F.col("text"), BASE)), lambda t: F.length(t) >= term_length).alias("terms"),
+            F.filter(terms_of(without_base(F.col("text"))), lambda t: F.length(t) >= term_length).alias("terms"),
         )
     )
     held = materialize(held)
@@ -192,13 +231,6 @@ def find_personal_data(
     return treated.select(columns).unionByName(clean.select(columns))
 
 
-def without(text: Column, kinds: list[str]) -> Column:
-    """``text`` with the found strings of these span columns blanked."""
-    return F.aggregate(
-        F.concat(*kinds), text, lambda t, s: F.replace(t, s["found"], F.lit(" "))
-    )
-
-
 def sanitise(text: Column, spans: Column) -> Column:
     """``text`` with spans replaced: a removed term by nothing, a generalised one by ``[TERM]``, data by its kind.
 

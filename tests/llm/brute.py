@@ -145,9 +145,8 @@ def disclosing_terms(texts: list[str], threshold: float, least_texts: int, term_
         base = personal_base(text)
         spans = [s for kind in base.values() for s in kind]
         entities = {f"{k}:{text[a:b]}" for k, a, b in spans}
-        blanked = text
-        for k, a, b in spans:
-            blanked = blanked.replace(text[a:b], " ")
+        inside = {i for _, a, b in spans for i in range(a, b)}
+        blanked = "".join("\n" if i in inside else c for i, c in enumerate(text))
         terms = {t.lower() for t in TERM.findall(blanked) if len(t) >= term_length}
         own.append((entities, terms, spans))
         n_term.update({t.lower() for t in TERM.findall(text)})
