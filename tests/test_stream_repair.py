@@ -83,3 +83,33 @@ def test_types_that_cannot_pass(spark, tmp_path):
         stream_repair(stream("id int, v array<int>, at timestamp"), ["id"], ["v"], "at")
     with pytest.raises(TypeError, match="must be a timestamp"):
         stream_repair(stream("id int, v int, at timestamp_ntz"), ["id"], ["v"], "at")
+
+
+def test_keys_of_one_bucket_are_forgotten_each_in_its_time(spark, tmp_path):
+    landings = Landings(spark, tmp_path, keep="2 days", late="0 seconds", buckets=1)
+    lacking = lambda key: (key, "a", Decimal("1.00"), "x", None, 1.0)
+    other = (9, "b", Decimal("1.00"), "x", date(2024, 1, 1), 1.0)
+    came = lambda key: (key, "a", None, "y", date(2024, 2, 2), 1.0)
+    landings.add([lacking(1), lacking(2)], 0)
+    landings.add([lacking(3), lacking(2)], 3)
+    landings.add([other], 4)
+    landings.add([came(1), came(2), came(3)], 5)  # the first landing's values are gone, where no other renewed them
+    assert rows_of(landings.valid(5), "id", "amount", "name") == {(2, Decimal("1.00"), "y"): 1, (3, Decimal("1.00"), "y"): 1}
+
+
+def test_many_keys_in_few_buckets(spark, tmp_path):
+    """Keys are compared as the values they are, however many share a bucket."""
+    numbers = spark.range(20_000)
+    key = F.when(F.col("id") == 0, F.lit(-0.0)).otherwise(F.col("id").cast("double")).alias("k")
+    at = lambda day: F.to_timestamp(F.lit(str(FIRST + timedelta(days=day)))).alias("landed")
+    numbers.select(key, F.col("id").alias("v"), F.lit(None).cast("string").alias("w"), at(0)).write.parquet(f"{tmp_path}/in/0")
+    second = numbers.select(F.col("id").cast("double").alias("k"), F.lit(None).cast("long").alias("v"), F.lit("w").alias("w"), at(1))
+    schema = second.schema
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+    repaired = stream_repair(stream, ["k"], ["v", "w"], "landed", buckets=16)
+    for n, rows in enumerate((None, second)):
+        if rows is not None:
+            rows.write.parquet(f"{tmp_path}/in/{n}")
+        stream_ingest(repaired, f"{tmp_path}/checkpoint", f"{tmp_path}/out").awaitTermination()
+    valid = spark.read.schema(repaired.schema).parquet(f"{tmp_path}/out").where("is_valid")
+    assert valid.where("k = v and w = 'w'").count() == valid.count() == 20_000
