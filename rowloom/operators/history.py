@@ -8,15 +8,18 @@ neighbouring spans that agree become one version (gaps and islands), and nothing
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.predicates import all_present, any_missing
-from rowloom.operators.joins import keep_matching, keep_missing, union_all
+from rowloom.operators.joins import join_unique, keep_matching, union_all
 from rowloom.operators.scd2 import HIGH_DATE, Versioning
 
 DAY = "extract_day"
@@ -50,7 +53,8 @@ def merge_extracts(
     ``unique_keys=True`` skips the look at them.
 
     Versions that ended before the first of ``days`` are read and passed on; the others and the extract rows are
-    shuffled once, on the keys. A key has no more rows there than there are versions and days.
+    shuffled and sorted once, on the keys, in ``spark.sql.shuffle.partitions`` parts. A key has no more rows there than there
+    are versions and days.
     """
     if missing not in ("expire", "keep"):
         raise ValueError(f"missing must be 'expire' or 'keep', not {missing!r}")
@@ -66,9 +70,9 @@ def merge_extracts(
     versions = dimension.where(~settled & start.isNotNull() & all_present(keys))
     rows = extracts.where(all_present(keys) & F.col(day).isin(new))
     if not unique_keys:
-        unclear = _unclear_keys(versions, rows, keys, start, day)
-        untouched.append(keep_matching(versions, unclear, keys))
-        versions, rows = keep_missing(versions, unclear, keys), keep_missing(rows, unclear, keys)
+        unclear = _unclear_keys(versions, rows, keys, start, day, new)
+        untouched.append(join_unique(versions, unclear, keys, "left_semi"))
+        versions, rows = (join_unique(side, unclear, keys, "left_anti") for side in (versions, rows))
 
     later = sorted({*old, *new}) if missing == "expire" else old
     spans = _spans(versions, rows, keys, attributes, later, new if missing == "expire" else [], day, start, end)
@@ -95,13 +99,28 @@ def unmerged_rows(
     return extracts.where(any_missing(keys)).unionByName(keep_matching(extracts.where(all_present(keys)), unclear, keys))
 
 
-def _unclear_keys(versions: DataFrame, rows: DataFrame, keys: list[str], start: Column, day: str) -> DataFrame:
-    """Keys with two rows of one day on a side; counted before the shuffle, so a hot key is one row per task and day."""
-    seen = versions.select(*keys, F.lit(0).alias("side"), start.cast("date").alias("on")).unionByName(
-        rows.select(*keys, F.lit(1).alias("side"), F.col(day).cast("date").alias("on"))
-    )
-    twice = seen.groupBy(*keys, "side", "on").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return twice.select(*keys).distinct()
+def _unclear_keys(
+    versions: DataFrame, rows: DataFrame, keys: list[str], start: Column, day: str, days: Sequence[date] | None = None
+) -> DataFrame:
+    """Keys with two rows of one day on a side; counted before the shuffle, so a hot key is one row per task.
+
+    If all days of the extract rows are among ``days``, a key's rows are counted against the set of their days, a bit
+    for each, so that a task holds one entry per key and not one per key and day.
+    """
+    starts = versions.select(*keys, start.cast("date").alias("on"))
+    said = rows.select(*keys, F.col(day).cast("date").alias("on"))
+    if days is None:
+        return _twice(starts, keys).unionByName(_twice(said, keys)).distinct()
+    place = F.array_position(F.array(*(F.lit(d) for d in days)), F.col("on")) - 1
+    words = range(math.ceil(len(days) / 64))
+    seen = [F.bit_or(F.expr(f"if(place div 64 = {w}, shiftleft(1L, cast(place % 64 as int)), 0L)")).alias(f"seen_{w}") for w in words]
+    n_days = reduce(add, (F.bit_count(f"seen_{w}") for w in words))
+    counted = said.withColumn("place", place).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *seen)
+    return _twice(starts, keys).unionByName(counted.where(F.col("n") > n_days).select(*keys)).distinct()
+
+
+def _twice(dated: DataFrame, keys: list[str]) -> DataFrame:
+    return dated.groupBy(*keys, "on").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(*keys)
 
 
 def _next(days: Sequence[date], on: Column) -> Column:
@@ -132,7 +151,7 @@ def _spans(versions, rows, keys, attributes, later, expiring, day, start, end) -
     """
     row = F.struct(*(c for c in attributes if c not in keys))
     version = F.struct(row.alias("row"), start.alias("since"), end.alias("until"))
-    said = F.struct(row.alias("row"), F.col(day).cast("date").alias("since"), _next(later, F.col(day)).alias("until"))
+    said = F.struct(row.alias("row"), _next(later, F.col(day)).alias("until"))
     blocks = stretches_of(expiring, later)
     bounds = F.array(*(F.lit(d) for d in sorted({d for b in blocks for d in b}))) if blocks else F.array().cast("array<date>")
     within = F.filter(bounds, lambda d: (d > start) & (d < end))
@@ -142,12 +161,15 @@ def _spans(versions, rows, keys, attributes, later, expiring, day, start, end) -
         F.transform(F.array_append(within, end), lambda d: F.struct(d.alias("at"), empty.cast(_type(versions, version)).alias("version"))),
     )
     from_versions = versions.select(*keys, F.inline(points))
-    two = F.array(
-        F.struct(F.col("said.since").alias("at"), F.col("said")),
-        F.struct(F.col("said.until").alias("at"), empty.cast(_type(rows, said)).alias("said")),
-    )
-    from_rows = rows.select(*keys, said.alias("said")).select(*keys, F.inline(two))
+    from_rows = rows.select(*keys, F.col(day).cast("date").alias("at"), said.alias("said"))
     both = from_versions.unionByName(from_rows, allowMissingColumns=True)
+    if not blocks:  # else a version that lasts longer than what is said begins anew there, at the end of a block
+        ends = from_rows.select(*keys, F.col("said.until").alias("at"))
+        both = both.unionByName(ends, allowMissingColumns=True)
+
+    # rows of one key look alike and shrink in the shuffle, so that Spark, which joins partitions by their size there,
+    # would give a task many times what it sorts; a fixed number of partitions stays as it is
+    both = both.repartition(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
     by_key = Window.partitionBy(*keys).orderBy("at")
     so_far = by_key.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # all rows of a day see the same
@@ -156,20 +178,21 @@ def _spans(versions, rows, keys, attributes, later, expiring, day, start, end) -
         "at",
         F.last("version", ignorenulls=True).over(so_far).alias("version"),
         F.last("said", ignorenulls=True).over(so_far).alias("said"),
-        F.lead("at").over(by_key).alias("until"),
-    ).where(F.col("until") > F.col("at"))  # of several rows of a day, the last has the next day after it
+        F.lead("at").over(by_key).alias("next"),
+    )
     silent = F.exists(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in blocks)),
                       lambda s: (s["a"] <= F.col("at")) & (F.col("at") < s["b"])) if blocks else F.lit(False)
     is_said = F.coalesce(F.col("at") < F.col("said.until"), F.lit(False))
     is_kept = F.coalesce(F.col("at") < F.col("version.until"), F.lit(False)) & ~silent
+    until = F.least("next", F.when(is_said, F.col("said.until")))  # the lesser, or the one there is
     return state.select(
         *keys,
         F.col("at").alias("since"),
-        "until",
+        until.alias("until"),
         F.when(is_said, F.col("said.row")).when(is_kept, F.col("version.row")).alias("row"),
         F.when(~is_said, F.col("version.since")).alias("origin"),
         (is_said | is_kept).alias("holds"),
-    ).where("holds")
+    ).where("holds and until > since")  # of several rows of a day, the last has the next day after it
 
 
 def _type(df: DataFrame, value: Column):
@@ -186,11 +209,8 @@ def _islands(spans: DataFrame, keys: list[str], compare: Sequence[str]) -> DataF
             agree &= F.col(f"before.old_{c}").eqNullSafe(F.col(f"row.{c}"))
     two_versions = F.col("before.origin") != F.col("origin")
     starts = ~F.coalesce(agree, F.lit(False)) | F.coalesce(two_versions, F.lit(False))
-    numbered = (
-        spans.withColumn("before", before)
-        .withColumn("starts", starts.cast("int"))
-        .withColumn("island", F.sum("starts").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
-    return numbered.groupBy(*keys, "island").agg(
-        F.min("since").alias("since"), F.max("until").alias("until"), F.min_by("row", "since").alias("row")
-    )
+    marked = spans.withColumn("before", before).withColumn("starts", starts).drop("before")
+    marked = marked.withColumn("ends", F.lead("starts", 1, True).over(by_key))
+    # an island's first and last span are neighbours then; all windows share the order of the first
+    edges = marked.where("starts or ends").withColumn("until", F.when(F.col("ends"), F.col("until")).otherwise(F.lead("until").over(by_key)))
+    return edges.where("starts").select(*keys, "since", "until", "row")

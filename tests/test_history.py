@@ -1,10 +1,12 @@
 """Extracts of many days merged at once and in any order, against one merge a day in the order of days."""
 
 import random
+import re
 from datetime import date, timedelta
 from itertools import permutations
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowloom.operators import history, scd2
 from tests.helpers import frame, plan_of, rows_of
@@ -122,3 +124,17 @@ def test_the_master_is_scanned_once_and_shuffled_once(spark, tmp_path):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == 3 and sum("extract_day" in s for s in scans) == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_the_merge_sorts_once_and_counts_a_key_once(spark, tmp_path):
+    """A task holds neither an entry per key and day nor several sorted copies of its rows."""
+    spark.range(500).selectExpr("cast(id as int) as id", "'a' as city", "1 as rank").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    many = [date(2024, 5, 1) + timedelta(days=i) for i in range(70)]  # more than a word has bits
+    extracts = rows.select("*", F.explode(F.array(*(F.lit(d) for d in many))).alias("extract_day"))
+    twice = extracts.where((F.col("id") == 7) & (F.col("extract_day") == many[66]))
+    merged = history.merge_extracts(scd2.open_versions(rows, OPENED), extracts.unionByName(twice), ["id"], ["city"], many, [OPENED])
+    assert rows_of(merged.where("id = 7"), "eff_dt", "end_dt") == {(OPENED, date(9999, 12, 31)): 1}  # it has no one history
+    assert merged.where("id <> 7 and eff_dt = '2024-01-01' and act_in = 'Y'").count() == merged.count() - 1 == 499
+    plan = plan_of(merged).split("== Initial Plan ==")[-1]
+    assert len(re.findall(r"(?<!Merge)Sort \[", plan)) == 1 and "SortAggregate" not in plan and "REPARTITION_BY_NUM" in plan
