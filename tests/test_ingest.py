@@ -3,13 +3,15 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from rowloom.functions import parsing
 from rowloom.operators import cleanse, ingest
 from rowloom.plans import jobs
 from rowloom.sources.delimited import schema_from_metadata, write_delimited
-from tests.helpers import frame, same
+from tests.helpers import frame, rows_of, same
 
 SALES = "Sale_ID string, Product_ID string, Quantity_Sold int, Vendor_ID string, Sale_Date date, Sale_Amount double, Sale_Currency string"
 PRODUCTS = "Product_ID string, Product_Name string, Product_Price int, Product_Price_Currency string, Product_Updated_Date date"
@@ -296,3 +298,19 @@ def test_a_time_literal_does_not_depend_on_the_zone(spark):
         assert value.first().t == datetime(2024, 1, 1, 5)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_partitioned_text_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A task keeps a file open per value; the session's own setting holds again afterwards, also after a failure."""
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    csv = DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, path: seen.append(int(spark.conf.get(setting))) or csv(self, path))
+    rows = spark.range(200).selectExpr("id", "id % 3 as few", "id % 40 as many")
+    before = spark.conf.get(setting)
+    for column in ("few", "many"):  # more values than open files: Spark goes on with a sort
+        write_delimited(rows, f"{tmp_path}/{column}", partition_by=[column])
+        back = spark.read.schema(f"id long, {'many' if column == 'few' else 'few'} long, {column} long").csv(f"{tmp_path}/{column}")
+        assert rows_of(back, "id", "few", "many") == rows_of(rows)
+    with pytest.raises(AnalysisException):
+        write_delimited(rows, f"{tmp_path}/few", mode="error", partition_by=["few"])
+    assert min(seen) > 2 and spark.conf.get(setting) == before
