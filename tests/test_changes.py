@@ -7,7 +7,7 @@ from datetime import date, datetime
 
 import pytest
 
-from rowloom.operators import cdc, changes, scd2
+from rowloom.operators import cdc, changes, joins, scd2
 from rowloom.operators.joins import LEFT, RIGHT, pair_by_key
 from tests.helpers import frame, plan_of, rows_of, same
 
@@ -253,6 +253,28 @@ def test_repeated_keys_are_read_three_times_at_most(spark, tmp_path):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 4
 
 
+def test_rows_are_shuffled_and_sorted_once(spark, tmp_path, monkeypatch):
+    """Rows of a hot key, and those with a null key, are not shuffled at all; the pairs are those of the aggregate."""
+    spark.range(3000).selectExpr("if(id % 9 = 0, 7, if(id % 50 = 1, null, id)) as k", "id % 5 as j", "id as v", "if(id % 7 = 0, null, 'l') as w").write.parquet(f"{tmp_path}/m")
+    spark.range(4000).selectExpr("if(id % 8 = 0, 7, if(id % 60 = 1, null, id % 3500)) as k", "id % 5 as j", "id + 1 as v", "if(id % 3 = 0, null, 'r') as w").write.parquet(f"{tmp_path}/d")
+    left, right = spark.read.parquet(f"{tmp_path}/m"), spark.read.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        by_aggregate = [pair_by_key(left, right, ["k", "j"], matched_only=m).collect() for m in (False, True)]
+        spark.conf.set(key, "4000")  # less than a side, more than a fiftieth of both
+        in_order = [pair_by_key(left, right, ["k", "j"], matched_only=m) for m in (False, True)]
+        assert [Counter(map(tuple, p.collect())) for p in in_order] == [Counter(map(tuple, p)) for p in by_aggregate]
+        plan = plan_of(in_order[0]).split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.set(key, before)
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and len(re.findall(r" Sort \[", plan)) == 1
+    assert sum("right__" in x or "left__" in x for x in plan.splitlines() if "Exchange hash" in x) <= 1
+    assert {r.pairing for r in by_aggregate[0]} == {"both", "left", "right", "ambiguous"}
+
+
 def test_unique_keys_take_one_join(spark, cases):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
